@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tapeloom.functions.filters import between
+
 BAR_SCHEMA = T.StructType(
     [
         T.StructField("ticker", T.StringType(), False),
@@ -68,10 +70,7 @@ def price_bars(
     ``tick_order`` must be total within a bar; a single primitive column keeps
     the aggregation hash-based, several are compared as a struct.
     """
-    if start_date is not None:
-        ticks = ticks.filter(F.col(ts) >= F.lit(start_date).cast("date"))
-    if end_date is not None:
-        ticks = ticks.filter(F.col(ts) < F.lit(end_date).cast("date"))
+    ticks = between(ticks, ts, start_date, end_date)
     place = F.col(tick_order[0]) if len(tick_order) == 1 else F.struct(*tick_order)
     last = F.max_by(price, place)
     return ticks.groupBy(key, _bar_start(ticks, ts, interval).alias(order)).agg(

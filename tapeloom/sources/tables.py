@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tapeloom.functions.filters import between
 from tapeloom.plans.staging import stage
 
 DEFAULT_FORMAT = "parquet"
@@ -32,11 +33,11 @@ def read_landed(
 ) -> DataFrame:
     """Files of a known schema, limited to ``[start_date, end_date)`` at the scan."""
     rows = spark.read.format(format).schema(schema).options(**options).load(path)
-    if start_date is not None:
-        rows = rows.filter(F.col(day) >= F.lit(start_date).cast("date"))
-    if end_date is not None:
-        rows = rows.filter(F.col(day) < F.lit(end_date).cast("date"))
-    return rows
+    if day is None:
+        if start_date is not None or end_date is not None:
+            raise ValueError("a date range needs the name of the day column")
+        return rows
+    return between(rows, day, start_date, end_date)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

@@ -249,7 +249,7 @@ def fact_bars(spark, sf_dir):
 
 
 def fact_append(spark, sf_dir):
-    fact, *_ = _star(spark, sf_dir)
+    fact = stage(_star(spark, sf_dir)[0])
     stored = fact.filter(F.col("trade_date") <= F.lit(OLD_STATE_END).cast("date"))
     fresh = facts.new_fact_rows(fact, stored)
     return fresh.select("ticker_sk", "date_sk", "ticker", "trade_date", *facts.PRICE_MEASURES)
@@ -258,7 +258,7 @@ def fact_append(spark, sf_dir):
 def referential_integrity(spark, sf_dir):
     """The fact against the dimension before inference and a shorter calendar."""
     fact, dim_ticker, dim_date, _ = _star(spark, sf_dir)
-    return facts.referential_integrity(fact, dim_ticker, dim_date.filter(F.col("year") < 2000))
+    return facts.referential_integrity(stage(fact), dim_ticker, dim_date.filter(F.col("year") < 2000))
 
 
 def quality_profile(spark, sf_dir):
