@@ -79,7 +79,7 @@ def price_bars(
         F.min(price).alias("low"),
         last.alias("close"),
         last.alias("adj_close"),
-        F.sum(size).cast("bigint").alias("volume"),
+        F.sum(size).try_cast("bigint").alias("volume"),
     )
 
 

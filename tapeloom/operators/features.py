@@ -123,9 +123,11 @@ def silver_features(
 ) -> DataFrame:
     """All features in one layout: one shuffle by ticker, two window passes.
 
-    The reference return is joined before the rolling pass, so volatility,
-    averages, RSI and correlation share a single Window node. ``bars`` is read
-    twice (once filtered to the reference ticker); pass a table, not a long
+    The reference return is joined between the passes (broadcast at DATE grain,
+    so the rows stay where they are); volatility, averages, RSI and correlation
+    share a single Window node. The join comes after the lag because several
+    reference ticks may share a timestamp and repeat a row. ``bars`` is read
+    twice (once filtered to the reference ticker): pass a table, not a long
     chain of transformations.
     """
     layout = lay_out(bars, series, before=config.reach)

@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from tapeloom.operators.bars import price_bars
 from tapeloom.operators.features import FeatureConfig
 
-# (order, line, part, supplier) as one number: an aggregation ordered by a
-# primitive stays hash-based, while a struct would make it sort every tick
+# The place of a trade in its day as one long: order and line, then 20 mixed bits of part
+# and supplier because (order, line) repeats. An aggregation ordered by a primitive is
+# hash-based; ordered by a struct or a wide decimal it took 3.5 times as long on 12 million
+# lines. Fits while order keys stay below 2^40 (ANSI arithmetic fails beyond).
 LINE_PLACE = """
-    cast(l_orderkey * 10 + l_linenumber as decimal(14, 0)) * 1000000000000000000000000BD
-    + cast(l_partkey as decimal(12, 0)) * 1000000000000BD
-    + cast(l_suppkey as decimal(12, 0))
+    (l_orderkey * 8 + l_linenumber) * 1048576 + (l_partkey * 1009 + l_suppkey) % 1048576
 """
 
 BRAND_CONFIG = FeatureConfig(
@@ -45,7 +45,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def line_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         "l_partkey",
-        F.expr(LINE_PLACE).cast("decimal(38,0)").alias("place"),
+        F.expr(LINE_PLACE).alias("place"),
         F.col("l_shipdate").alias("ts"),
         F.try_divide("l_extendedprice", "l_quantity").alias("price"),
         F.col("l_quantity").alias("size"),
@@ -91,4 +91,5 @@ def event_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hourly_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return price_bars(event_ticks(spark, sf_dir), ["ts", "event_id"], order="bar_start", interval="1h")
+    # event ids ascend with time: they are the feed's sequence number
+    return price_bars(event_ticks(spark, sf_dir), ["event_id"], order="bar_start", interval="1h")

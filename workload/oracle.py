@@ -22,7 +22,9 @@ def _with(*parts: str) -> str:
 
 # ---------------------------------------------------------------- bars
 
-LINE_ORD = "row(l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+LINE_ORD = (
+    "(l_orderkey * 8 + l_linenumber) * 1048576 + (l_partkey * 1009 + l_suppkey) % 1048576"
+)
 
 
 def _bars(unit: str = "CAST(ts AS DATE)", day: str = "trade_date") -> str:
