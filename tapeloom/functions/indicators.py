@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, WindowSpec
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -13,24 +13,11 @@ def log_ratio(price: Column, previous: Column) -> Column:
     return F.when(previous > 0, F.log(price / previous))
 
 
-def rsi(change: Column, frame: WindowSpec) -> Column:
-    """Relative strength from plain means; 100 when the frame holds no loss."""
-    gain = F.avg(F.when(change > 0, change).otherwise(0.0)).over(frame)
-    loss = F.avg(F.when(change < 0, -change).otherwise(0.0)).over(frame)
+def rsi(gain: Column, loss: Column) -> Column:
+    """Relative strength from the mean gain and mean loss; 100 without any loss."""
     return F.when(loss == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + gain / loss))
 
 
-def rolling_corr(x: Column, y: Column, frame: WindowSpec) -> Column:
-    """Pearson correlation over pair-complete rows, NULL if a side is constant.
-
-    The built-in corr raises DIVIDE_BY_ZERO on a constant side under ANSI mode.
-    """
-    x_paired = F.when(y.isNotNull(), x)
-    y_paired = F.when(x.isNotNull(), y)
-    spread = F.stddev_pop(x_paired).over(frame) * F.stddev_pop(y_paired).over(frame)
-    return F.try_divide(F.covar_pop(x, y).over(frame), spread)
-
-
 def nan_to_null(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 

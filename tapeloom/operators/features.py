@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeloom.functions.indicators import log_ratio, nan_to_null, rolling_corr, rsi
+from tapeloom.functions.indicators import log_ratio, nan_to_null, rsi
+from tapeloom.functions.moments import (
+    block_rows,
+    lag_columns,
+    moment_columns,
+    pair_columns,
+    pooled_corr,
+    pooled_deviation,
+)
 from tapeloom.plans.series import Layout, Series, lay_out
 
 _PREVIOUS = "_previous"
@@ -77,7 +85,8 @@ def rolling_volatility(
 ) -> DataFrame:
     """``volatility_{N}d``: sample deviation of the last N returns."""
     layout = lay_out(df, series, before=max(config.volatility_windows) - 1)
-    return layout.close(layout.frame.withColumns(_volatility(layout, config)))
+    block = block_rows(config.volatility_windows)
+    return layout.close(_add(layout.frame, _volatility(layout, config, block)))
 
 
 def moving_averages(
@@ -85,7 +94,7 @@ def moving_averages(
 ) -> DataFrame:
     """``ma_{N}``: mean price of the last N rows."""
     layout = lay_out(df, series, before=max(config.ma_windows) - 1)
-    return layout.close(layout.frame.withColumns(_averages(layout, config)))
+    return layout.close(_add(layout.frame, _averages(layout, config)))
 
 
 def relative_strength(
@@ -96,7 +105,7 @@ def relative_strength(
     frame = layout.frame.withColumn(
         _PREVIOUS, F.lag(config.price_column).over(layout.window)
     )
-    return layout.close(frame.withColumn("rsi", _strength(layout, config)).drop(_PREVIOUS))
+    return layout.close(_add(frame, _strength(layout, config)).drop(_PREVIOUS))
 
 
 def reference_correlation(
@@ -105,8 +114,8 @@ def reference_correlation(
     """Rolling correlation of ``log_return`` with the reference ticker's return."""
     layout = lay_out(df, series, before=config.correlation_window - 1)
     frame = _with_reference(layout.frame, layout.own(layout.frame), config, series)
-    column = {config.correlation_column: _correlation(layout, config)}
-    return layout.close(frame.withColumns(column).drop(_REFERENCE))
+    block = block_rows([config.correlation_window])
+    return layout.close(_add(frame, _correlation(layout, config, block)).drop(_REFERENCE))
 
 
 def clean_nan(
@@ -121,11 +130,11 @@ def clean_nan(
 def silver_features(
     bars: DataFrame, config: FeatureConfig = DEFAULT_CONFIG, series: Series = DAILY
 ) -> DataFrame:
-    """All features in one layout: one shuffle by ticker, two window passes.
+    """All features in one layout: one shuffle by ticker, three window passes.
 
-    The reference return is joined between the passes (broadcast at DATE grain,
-    so the rows stay where they are); volatility, averages, RSI and correlation
-    share a single Window node. The join comes after the lag because several
+    The passes are the price lag, all sliding frames, and the lags of blocks.
+    The reference return is joined before the second one (broadcast at DATE
+    grain, so the rows stay where they are), after the lag because several
     reference ticks may share a timestamp and repeat a row. ``bars`` is read
     twice (once filtered to the reference ticker): pass a table, not a long
     chain of transformations.
@@ -135,19 +144,37 @@ def silver_features(
     reference = layout.frame.filter(F.col(series.key) == config.reference_ticker)
     reference = layout.own(_with_return(reference, layout, config))
     frame = _with_reference(frame, reference, config, series)
-    frame = frame.withColumns(
-        {
-            "is_illiquid": _illiquid(config, series.key),
-            **_volatility(layout, config),
-            **_averages(layout, config),
-            "rsi": _strength(layout, config),
-            config.correlation_column: _correlation(layout, config),
-        }
+    block = block_rows([*config.volatility_windows, config.correlation_window])
+    frame = _add(
+        frame.withColumn("is_illiquid", _illiquid(config, series.key)),
+        _volatility(layout, config, block),
+        _averages(layout, config),
+        _strength(layout, config),
+        _correlation(layout, config, block),
     )
     cleaned = clean_nan(layout.close(frame), config=config)
     return cleaned.select(*bars.columns, "is_illiquid", *config.derived_columns)
 
 
+@dataclass
+class _Feature:
+    """Columns of a feature by window pass; only ``values`` stay in the result."""
+
+    values: dict[str, Column]
+    frames: dict[str, Column]
+    lags: dict[str, Column] = field(default_factory=dict)
+
+
+def _add(df: DataFrame, *features: _Feature) -> DataFrame:
+    """Add features so that equal window passes become one Window node."""
+    frames = {name: column for f in features for name, column in f.frames.items()}
+    lags = {name: column for f in features for name, column in f.lags.items()}
+    values = {name: column for f in features for name, column in f.values.items()}
+    for columns in (frames, lags, values):
+        df = df.withColumns(columns) if columns else df
+    return df.drop(*frames, *lags)
+
+
 def _illiquid(config: FeatureConfig, key: str) -> Column:
     exempt = F.col(key).isin(list(config.volume_exempt_tickers))
     return F.when(exempt, F.lit(False)).otherwise(
@@ -162,27 +189,46 @@ def _with_return(df: DataFrame, layout: Layout, config: FeatureConfig) -> DataFr
     )
 
 
-def _volatility(layout: Layout, config: FeatureConfig) -> dict[str, Column]:
-    return {
-        f"volatility_{n}d": F.stddev("log_return").over(layout.rows(n))
-        for n in config.volatility_windows
-    }
+def _volatility(layout: Layout, config: FeatureConfig, block: int | None) -> _Feature:
+    feature = _Feature({}, {})
+    for size in config.volatility_windows:
+        rows = block or size
+        name = f"_return_{rows}"
+        frames = moment_columns(name, F.col("log_return"), layout.rows(rows))
+        feature.frames |= frames
+        feature.lags |= lag_columns(list(frames), size, rows, layout.window)
+        feature.values[f"volatility_{size}d"] = pooled_deviation(name, size, rows)
+    return feature
 
 
-def _averages(layout: Layout, config: FeatureConfig) -> dict[str, Column]:
-    return {
-        f"ma_{n}": F.avg(config.price_column).over(layout.rows(n)) for n in config.ma_windows
-    }
+def _averages(layout: Layout, config: FeatureConfig) -> _Feature:
+    price = config.price_column
+    return _Feature(
+        {f"ma_{n}": F.col(f"_mean_{n}") for n in config.ma_windows},
+        {f"_mean_{n}": F.avg(price).over(layout.rows(n)) for n in config.ma_windows},
+    )
 
 
-def _strength(layout: Layout, config: FeatureConfig) -> Column:
+def _strength(layout: Layout, config: FeatureConfig) -> _Feature:
     change = F.col(config.price_column) - F.col(_PREVIOUS)
-    return rsi(change, layout.rows(config.rsi_window))
+    frame = layout.rows(config.rsi_window)
+    gain = F.avg(F.when(change > 0, change).otherwise(0.0)).over(frame)
+    loss = F.avg(F.when(change < 0, -change).otherwise(0.0)).over(frame)
+    return _Feature(
+        {"rsi": rsi(F.col("_mean_gain"), F.col("_mean_loss"))},
+        {"_mean_gain": gain, "_mean_loss": loss},
+    )
 
 
-def _correlation(layout: Layout, config: FeatureConfig) -> Column:
-    frame = layout.rows(config.correlation_window)
-    return rolling_corr(F.col("log_return"), F.col(_REFERENCE), frame)
+def _correlation(layout: Layout, config: FeatureConfig, block: int | None) -> _Feature:
+    size = config.correlation_window
+    rows = block or size
+    frames = pair_columns("_pair", F.col("log_return"), F.col(_REFERENCE), layout.rows(rows))
+    return _Feature(
+        {config.correlation_column: pooled_corr("_pair", size, rows)},
+        frames,
+        lag_columns(list(frames), size, rows, layout.window),
+    )
 
 
 def _with_reference(

@@ -125,6 +125,30 @@ def test_rsi_with_nan_change(spark):
     assert column(clean_nan(df), "rsi")[5] is None
 
 
+def test_long_windows_from_blocks_match_plain_python(spark):
+    """60 rows are pooled from blocks of 20; the series starts, gaps and ends mid-block."""
+    config = FeatureConfig(reference_ticker="REF", correlation_window=60)
+    ref, other = walk(21, 150), walk(22, 133)
+    other[40] = None
+    silver = silver_features(bars(spark, REF=ref, AAA=other), config).filter("ticker = 'AAA'")
+    mine, theirs = returns(other), returns(ref)
+    close_to(column(silver, "volatility_20d"), rolling(mine, 20, deviation))
+    close_to(column(silver, "volatility_60d"), rolling(mine, 60, deviation))
+    pairs = rolling(list(zip(mine, theirs)), 60, pearson)
+    close_to(column(silver, "corr_vix_60d"), pairs)
+    close_to(column(silver, "ma_200"), rolling(other, 200, average))
+
+
+def test_long_constant_windows_stay_null(spark):
+    """Block means of a constant differ in the last bit; that must not count as spread."""
+    config = FeatureConfig(reference_ticker="REF")
+    doubling = [2.0**n for n in range(90)]
+    df = bars(spark, REF=walk(23, 90), FLAT=[0.1] * 90, DOUBLING=doubling)
+    silver = silver_features(df, config).filter("ticker <> 'REF'")
+    assert column(silver, "corr_vix_60d") == [None] * 180
+    assert set(column(silver, "volatility_60d")) == {None, 0.0}
+
+
 def test_correlation_matches_plain_python_and_survives_missing_days(spark):
     ref, other = walk(3, 20), walk(4, 20)
     df = bars(spark, REF=ref, AAA=other).filter(
