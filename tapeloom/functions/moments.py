@@ -50,11 +50,18 @@ def moment_columns(name: str, x: Column, frame: WindowSpec) -> dict[str, Column]
 def pair_columns(name: str, x: Column, y: Column, frame: WindowSpec) -> dict[str, Column]:
     """Moments of both sides over the rows where both are present, and their cross sum."""
     x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-    cross = F.count(x).over(frame) * F.covar_pop(x, y).over(frame)
+    count = F.count(x).over(frame)
+
+    def scaled(moment: Column) -> Column:
+        return F.coalesce(count * moment.over(frame), F.lit(0.0))
+
     return {
-        **moment_columns(f"{name}_x", x, frame),
-        **moment_columns(f"{name}_y", y, frame),
-        f"{name}_cross": F.coalesce(cross, F.lit(0.0)),
+        f"{name}_n": count,
+        f"{name}_x_mean": F.coalesce(F.avg(x).over(frame), F.lit(0.0)),
+        f"{name}_y_mean": F.coalesce(F.avg(y).over(frame), F.lit(0.0)),
+        f"{name}_x_m2": scaled(F.var_pop(x)),
+        f"{name}_y_m2": scaled(F.var_pop(y)),
+        f"{name}_cross": scaled(F.covar_pop(x, y)),
     }
 
 
@@ -77,37 +84,53 @@ def _total(columns: Sequence[Column]) -> Column:
     return reduce(add, columns)
 
 
-def _gaps(name: str, size: int, block: int) -> list[Column]:
-    """Distance of every block mean from the pooled mean (zero within rounding)."""
-    counts, means = (_blocks(f"{name}_{part}", size, block) for part in ("n", "mean"))
-    pooled = F.try_divide(_total([n * m for n, m in zip(counts, means)]), _total(counts))
-    close = F.abs(pooled) * _SAME_MEAN
-    return [F.when(F.abs(m - pooled) > close, m - pooled).otherwise(0.0) for m in means]
-
-
-def _squares(name: str, size: int, block: int) -> Column:
-    counts, squares = (_blocks(f"{name}_{part}", size, block) for part in ("n", "m2"))
-    gaps = _gaps(name, size, block)
-    return _total([*squares, *(n * g * g for n, g in zip(counts, gaps))])
+def pooling_steps(
+    count: str, means: Sequence[str], size: int, block: int
+) -> list[dict[str, Column]]:
+    """Columns to add one after the other: pooled means, then every block's gap from them.
+
+    Two projections instead of one long expression: generated code stays small
+    enough for the JVM to compile. A single block needs no pooling.
+    """
+    if size == block:
+        return []
+    counts = _blocks(count, size, block)
+    pooled, gaps = {}, {}
+    for mean in means:
+        blocks = _blocks(mean, size, block)
+        middle = f"{mean}_pooled{size}"
+        weighted = _total([n * m for n, m in zip(counts, blocks)])
+        pooled[middle] = F.try_divide(weighted, _total(counts))
+        for i, m in enumerate(blocks):
+            gap = m - F.col(middle)
+            apart = F.abs(gap) > F.abs(middle) * _SAME_MEAN
+            gaps[f"{mean}_gap{size}_{i}"] = F.when(apart, gap).otherwise(0.0)
+    return [pooled, gaps]
+
+
+def _pooled(count: str, sums: str, x: str, y: str, size: int, block: int) -> Column:
+    """Sum of (products of) deviations over ``size`` rows."""
+    parts = _blocks(sums, size, block)
+    if size > block:
+        parts += [
+            n * F.col(f"{x}_gap{size}_{i}") * F.col(f"{y}_gap{size}_{i}")
+            for i, n in enumerate(_blocks(count, size, block))
+        ]
+    return _total(parts)
 
 
 def pooled_deviation(name: str, size: int, block: int) -> Column:
     """Sample standard deviation over ``size`` rows; NULL below two values."""
+    mean = f"{name}_mean"
+    squares = _pooled(f"{name}_n", f"{name}_m2", mean, mean, size, block)
     count = _total(_blocks(f"{name}_n", size, block))
-    return F.when(count > 1, F.sqrt(_squares(name, size, block) / (count - 1)))
+    return F.when(count > 1, F.sqrt(squares / (count - 1)))
 
 
 def pooled_corr(name: str, size: int, block: int) -> Column:
     """Pearson correlation over ``size`` rows; NULL below two pairs or if a side is constant."""
-    counts = _blocks(f"{name}_x_n", size, block)
-    gaps = zip(_gaps(f"{name}_x", size, block), _gaps(f"{name}_y", size, block))
-    cross = _total(
-        [
-            *_blocks(f"{name}_cross", size, block),
-            *(n * gx * gy for n, (gx, gy) in zip(counts, gaps)),
-        ]
-    )
-    spread = F.sqrt(_squares(f"{name}_x", size, block)) * F.sqrt(
-        _squares(f"{name}_y", size, block)
-    )
-    return F.try_divide(cross, spread)
+    count, x, y = f"{name}_n", f"{name}_x_mean", f"{name}_y_mean"
+    cross = _pooled(count, f"{name}_cross", x, y, size, block)
+    x_squares = _pooled(count, f"{name}_x_m2", x, x, size, block)
+    y_squares = _pooled(count, f"{name}_y_m2", y, y, size, block)
+    return F.try_divide(cross, F.sqrt(x_squares) * F.sqrt(y_squares))

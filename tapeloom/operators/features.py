@@ -16,6 +16,7 @@ from tapeloom.functions.moments import (
     pair_columns,
     pooled_corr,
     pooled_deviation,
+    pooling_steps,
 )
 from tapeloom.plans.series import Layout, Series, lay_out
 
@@ -158,21 +159,29 @@ def silver_features(
 
 @dataclass
 class _Feature:
-    """Columns of a feature by window pass; only ``values`` stay in the result."""
+    """Columns of a feature by pass; only ``values`` stay in the result."""
 
-    values: dict[str, Column]
-    frames: dict[str, Column]
+    values: dict[str, Column] = field(default_factory=dict)
+    frames: dict[str, Column] = field(default_factory=dict)
     lags: dict[str, Column] = field(default_factory=dict)
+    pooled: dict[str, Column] = field(default_factory=dict)
+    gaps: dict[str, Column] = field(default_factory=dict)
+
+    def pool(self, count: str, means: Sequence[str], size: int, block: int) -> None:
+        for step, columns in zip(
+            (self.pooled, self.gaps), pooling_steps(count, means, size, block)
+        ):
+            step.update(columns)
 
 
 def _add(df: DataFrame, *features: _Feature) -> DataFrame:
     """Add features so that equal window passes become one Window node."""
-    frames = {name: column for f in features for name, column in f.frames.items()}
-    lags = {name: column for f in features for name, column in f.lags.items()}
-    values = {name: column for f in features for name, column in f.values.items()}
-    for columns in (frames, lags, values):
+    helpers: list[str] = []
+    for step in ("frames", "lags", "pooled", "gaps", "values"):
+        columns = {name: c for f in features for name, c in getattr(f, step).items()}
         df = df.withColumns(columns) if columns else df
-    return df.drop(*frames, *lags)
+        helpers += [] if step == "values" else columns
+    return df.drop(*helpers)
 
 
 def _illiquid(config: FeatureConfig, key: str) -> Column:
@@ -190,13 +199,14 @@ def _with_return(df: DataFrame, layout: Layout, config: FeatureConfig) -> DataFr
 
 
 def _volatility(layout: Layout, config: FeatureConfig, block: int | None) -> _Feature:
-    feature = _Feature({}, {})
+    feature = _Feature()
     for size in config.volatility_windows:
         rows = block or size
         name = f"_return_{rows}"
         frames = moment_columns(name, F.col("log_return"), layout.rows(rows))
         feature.frames |= frames
         feature.lags |= lag_columns(list(frames), size, rows, layout.window)
+        feature.pool(f"{name}_n", [f"{name}_mean"], size, rows)
         feature.values[f"volatility_{size}d"] = pooled_deviation(name, size, rows)
     return feature
 
@@ -224,11 +234,13 @@ def _correlation(layout: Layout, config: FeatureConfig, block: int | None) -> _F
     size = config.correlation_window
     rows = block or size
     frames = pair_columns("_pair", F.col("log_return"), F.col(_REFERENCE), layout.rows(rows))
-    return _Feature(
+    feature = _Feature(
         {config.correlation_column: pooled_corr("_pair", size, rows)},
         frames,
         lag_columns(list(frames), size, rows, layout.window),
     )
+    feature.pool("_pair_n", ["_pair_x_mean", "_pair_y_mean"], size, rows)
+    return feature
 
 
 def _with_reference(
