@@ -138,7 +138,8 @@ def silver_features(
     grain, so the rows stay where they are), after the lag because several
     reference ticks may share a timestamp and repeat a row. ``bars`` is read
     twice (once filtered to the reference ticker): pass a table, not a long
-    chain of transformations.
+    chain of transformations. Write the result before filtering on a feature:
+    a filter would repeat the feature's whole expression below the projection.
     """
     layout = lay_out(bars, series, before=config.reach)
     frame = _with_return(layout.frame, layout, config)

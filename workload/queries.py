@@ -66,7 +66,7 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rule_regimes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver rows with a deterministic regime, so label operators compare with SQL."""
-    rows = silver(spark, sf_dir)
+    rows = stage(silver(spark, sf_dir))
     calm = F.col("volatility_20d") <= CALM_LIMIT
     regime = (
         F.when(calm, RULE_LABELS[0])
@@ -322,13 +322,13 @@ def class_weights(spark, sf_dir):
 
 
 def rf_predictions(spark, sf_dir):
-    rows = stage(rule_regimes(spark, sf_dir))
+    rows = rule_regimes(spark, sf_dir)
     exempt = BRAND_CONFIG.volume_exempt_tickers
     return classify.rf_predictions(rows, train_end=TRAIN_END, exclude=exempt).predictions
 
 
 def feature_importance(spark, sf_dir):
-    rows = stage(rule_regimes(spark, sf_dir))
+    rows = rule_regimes(spark, sf_dir)
     exempt = BRAND_CONFIG.volume_exempt_tickers
     return classify.rf_predictions(rows, train_end=TRAIN_END, exclude=exempt).importance
 
