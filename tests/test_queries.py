@@ -5,13 +5,14 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 from workload.verify import compare, open_database
 
 SF_DIR = "/root/testdata/sf0.001"
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 # fitted models: rows only; their invariants are in test_models.py
 MODELS = {"kmeans_regimes", "k_sweep", "rf_predictions", "feature_importance"}
 
@@ -32,5 +33,9 @@ def test_only_models_lack_sql():
     assert set(QUERIES) - set(ORACLE) == MODELS and set(ORACLE) <= set(QUERIES)
 
 
+def test_all_are_registered():
+    assert QUERIES.items() <= entry.queries().items() and ORACLE.items() <= entry.oracle_sql().items()
+
+
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
