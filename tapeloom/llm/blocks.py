@@ -22,11 +22,12 @@ SLICE = 1 << 20
 GROUP = ["list", "low", "high"]
 
 
-def block_groups(entries: DataFrame, block: int = BLOCK) -> DataFrame:
+def block_groups(entries: DataFrame, block: int = BLOCK, payload: DataFrame | None = None) -> DataFrame:
     """``entries(list, id, ...)`` dealt to groups and sorted for ``whole_groups``.
 
     Lists with one entry have no pairs and are left out. Adds ``low``, ``high``
     (the blocks that meet in the group) and ``own`` (the entry's block).
+    ``payload(id, ...)`` is joined to the entries that are left.
     """
     sizes = entries.groupBy("list").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     blocks = F.expr(f"cast((_n + {block - 1}) div {block} as int)")
@@ -39,6 +40,8 @@ def block_groups(entries: DataFrame, block: int = BLOCK) -> DataFrame:
         .withColumn("high", F.greatest("own", "_other"))
         .drop("_n", "_blocks", "_other")
     )
+    if payload is not None:
+        dealt = dealt.join(payload, "id")
     return dealt.repartition(*GROUP).sortWithinPartitions(*GROUP, "id")
 
 

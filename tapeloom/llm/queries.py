@@ -7,22 +7,40 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tapeloom.llm.common import table
+from tapeloom.llm.decontaminate import benchmark_leaks
+from tapeloom.llm.embeddings import vector_groups
 from tapeloom.llm.sharding import byte_shards
 from tapeloom.llm.simhash import simhash_groups
+from tapeloom.llm.suffix_dedup import suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"), length=400)
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards(table(spark, sf_dir, "documents"), 8)
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_groups(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), size=3, max_bits=3)
 
 
 QUERIES: dict[str, Query] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op3_sharding": op3_sharding,
+    "op4_embedding_dedup": op4_embedding_dedup,
+    "op7_decontamination": op7_decontamination,
     "op8_simhash": op8_simhash,
 }
 
