@@ -12,6 +12,7 @@ from tapeloom.llm.embeddings import vector_groups
 from tapeloom.llm.sharding import byte_shards
 from tapeloom.llm.simhash import simhash_groups
 from tapeloom.llm.suffix_dedup import suffix_dedup
+from tapeloom.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,12 +37,17 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), size=3, max_bits=3)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op3_sharding": op3_sharding,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_simhash": op8_simhash,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
