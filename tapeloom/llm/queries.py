@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tapeloom.llm.common import table
 from tapeloom.llm.decontaminate import benchmark_leaks
 from tapeloom.llm.embeddings import vector_groups
+from tapeloom.llm.language import languages
 from tapeloom.llm.sharding import byte_shards
 from tapeloom.llm.simhash import simhash_groups
 from tapeloom.llm.suffix_dedup import suffix_dedup
@@ -41,6 +42,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op3_sharding": op3_sharding,
@@ -48,6 +53,7 @@ QUERIES: dict[str, Query] = {
     "op7_decontamination": op7_decontamination,
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
+    "op10_language": op10_language,
 }
 
 ORACLE: dict[str, str] = {}
