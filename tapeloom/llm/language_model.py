@@ -86,8 +86,17 @@ class Head:
 def _head(counts: DataFrame, documents: int, head_words: int) -> Head:
     total = counts.agg(F.sum("count"), F.count(F.lit(1))).first()
     tokens, distinct = int(total[0] or 0), int(total[1])
+    # the least count that at most ``head_words`` words reach: from one histogram, never by sorting
+    bucket = F.when(F.col("count") <= 1024, F.col("count")).otherwise((64 * F.log2("count") + 384).cast("long"))
+    histogram = counts.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("words"), F.min("count").alias("least"))
+    least, room = None, head_words
+    for row in sorted(histogram.collect(), key=lambda r: -r["bucket"]):
+        room -= row["words"]
+        if room < 0:
+            break
+        least = row["least"]
     # bounded by ``head_words``
-    top = counts.orderBy(F.desc("count"), "word").limit(head_words).toArrow()
+    top = counts.where(F.col("count") >= least if least is not None else F.lit(False)).toArrow()
     word, count = top.column("word").to_numpy(), top.column("count").to_numpy()
     ranked = np.lexsort((word, -count))
     classes = np.full(len(word), OTHER, dtype=np.uint8)
