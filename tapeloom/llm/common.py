@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -25,3 +27,28 @@ def fold(doc_id: str | Column, folds: int) -> Column:
 def held_out(doc_id: str | Column, folds: int, fold_number: int = 2) -> Column:
     """True for the rows that no model may learn from; a null id is never held out."""
     return F.coalesce(fold(doc_id, folds) == fold_number, F.lit(False))
+
+
+def bounded_sample(rows: DataFrame, key: Column, most: int) -> DataFrame:
+    """All of ``rows`` if they are ``most`` or fewer, else about that many, chosen by a hash of ``key``.
+
+    The share aims at 95 % of ``most``, so that a chance excess stays within it.
+    """
+    count = rows.count()
+    if count <= most:
+        return rows
+    parts = 1 << 40
+    return rows.where(F.pmod(F.xxhash64(key), F.lit(parts)) < int(parts * 0.95 * most / count))
+
+
+def with_added(df: DataFrame, run: Callable, added: Sequence[StructField]) -> DataFrame:
+    """``df.mapInArrow(run)`` where ``run`` appends the ``added`` columns to those of ``df``.
+
+    Columns reach ``run`` under their positions as names, so that any name is
+    allowed; columns of ``df`` called like added ones are replaced.
+    """
+    names = [field.name for field in added]
+    rest = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in names])
+    numbered = rest.toDF(*[str(n) for n in range(len(rest.columns))])
+    fields = [*numbered.schema.fields, *added]
+    return numbered.mapInArrow(run, StructType(fields)).toDF(*rest.columns, *names)

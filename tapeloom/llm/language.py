@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeloom.llm.common import held_out
+from tapeloom.llm.common import bounded_sample, held_out
 from tapeloom.llm.text import chunks, mix64
 from tapeloom.plans.staging import stage
 
@@ -196,8 +196,8 @@ class LanguageModel:
 def fit_language(docs: DataFrame, rows: int = LABELLED_ROWS, features: int = FEATURES) -> LanguageModel:
     """Learn from the documents outside the held-out fold that have an id and a language.
 
-    Document frequencies count all of them; weights and temperature come from the
-    ``rows`` distinct ones whose id and text hash least.
+    Document frequencies count all of them; weights and temperature come from at most
+    ``rows`` distinct ones, drawn by a hash of id and text.
     """
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out("doc_id", FOLDS, HELD_OUT)
@@ -211,7 +211,7 @@ def fit_language(docs: DataFrame, rows: int = LABELLED_ROWS, features: int = FEA
     idf = np.log((1 + texts) / (1 + frequency)) + 1
 
     name = F.xxhash64("doc_id", "text")
-    chosen = stage(known.select(name.alias("name")).distinct().orderBy("name").limit(rows))
+    chosen = stage(bounded_sample(stage(known.select(name.alias("name")).distinct()), F.col("name"), rows))
     # bounded by ``rows``
     sample = known.withColumn("name", name).join(F.broadcast(chosen), "name").dropDuplicates(["name"])
     found = sample.select("text", "lang").mapInArrow(_vectors(features), "lang string, features binary, counts binary")

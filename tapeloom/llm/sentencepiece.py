@@ -22,7 +22,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField
 
+from tapeloom.llm.common import with_added
 from tapeloom.llm.text import Chunk, chunks, hash_words, ragged
 
 MARK = "▁"
@@ -248,28 +250,25 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     of the text, ``round_trip`` whether the ids decode to the (normalised) text.
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_model(docs.sparkSession, model))
-    added = ["token_ids", "n_tokens", "parity", "round_trip"]
-    rest = docs.drop(*added)
+    kinds = [ArrayType(IntegerType()), LongType(), BooleanType(), BooleanType()]
+    added = [StructField(n, k) for n, k in zip(["token_ids", "n_tokens", "parity", "round_trip"], kinds)]
+    text = [c for c in docs.columns if c not in {f.name for f in added}].index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared.value)
         for batch in batches:
             at = 0
-            for ids, count, parity, round_trip in encode_texts(codec, batch.column("text")):
+            for ids, count, parity, round_trip in encode_texts(codec, batch.column(text)):
                 ends = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
                 part = batch.slice(at, len(count))
                 at += len(count)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, lists, pa.array(count), pa.array(parity), pa.array(round_trip)],
-                    [*part.schema.names, *added],
+                    [*part.schema.names, *[f.name for f in added]],
                 )
 
-    from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
-
-    kinds = [ArrayType(IntegerType()), LongType(), BooleanType(), BooleanType()]
-    schema = StructType([*rest.schema.fields, *[StructField(n, k) for n, k in zip(added, kinds)]])
-    return rest.mapInArrow(run, schema)
+    return with_added(docs, run, added)
 
 
 def encode_digest(docs: DataFrame, model: str) -> DataFrame:
@@ -306,12 +305,12 @@ def encode_digest(docs: DataFrame, model: str) -> DataFrame:
 def decode(rows: DataFrame, model: str) -> DataFrame:
     """``rows`` with ``text`` decoded from ``token_ids`` (null: null); an existing ``text`` is replaced."""
     shared = rows.sparkSession.sparkContext.broadcast(read_model(rows.sparkSession, model))
-    rest = rows.drop("text")
+    ids = [c for c in rows.columns if c != "text"].index("token_ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared.value)
         for batch in batches:
-            lists = batch.column("token_ids").to_pylist()
+            lists = batch.column(ids).to_pylist()
             texts = codec.tokenizer.decode_batch([x or [] for x in lists], skip_special_tokens=False)
             # the prefix goes again
             texts = [None if x is None else t.removeprefix(" ") for x, t in zip(lists, texts)]
@@ -319,6 +318,4 @@ def decode(rows: DataFrame, model: str) -> DataFrame:
                 [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "text"]
             )
 
-    from pyspark.sql.types import StringType, StructField, StructType
-
-    return rest.mapInArrow(run, StructType([*rest.schema.fields, StructField("text", StringType())]))
+    return with_added(rows, run, [StructField("text", StringType())])

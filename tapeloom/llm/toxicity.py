@@ -25,9 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, StructField
 
-from tapeloom.llm.common import held_out
+from tapeloom.llm.common import bounded_sample, held_out, with_added
 from tapeloom.llm.text import Chunk, chunks, eight_bytes, hash_words, mix64, spans
 from tapeloom.plans.staging import stage
 
@@ -38,7 +38,7 @@ FEATURES = 20_000
 STARTS = range(3, 8)
 SMOOTHING = 0.5
 BOUND_SIGMAS = 2.0
-LEAST_EVIDENCE = 1.5
+LEAST_EVIDENCE = 1.0
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
 
@@ -339,14 +339,14 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01, steps: int = 50
 def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, features: int = FEATURES) -> ToxicityModel:
     """Learn from at most ``rows`` labelled documents outside the held-out fold.
 
-    The sample is the ``rows`` least hashes of the ids. The character model counts
+    The sample is drawn by a hash of the ids. The character model counts
     all texts. A document with several labels is toxic if one of them says so.
     """
     spark = docs.sparkSession
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out("doc_id", FOLDS, HELD_OUT))
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     # bounded by ``rows``: small enough for every task
-    chosen = stage(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
+    chosen = stage(bounded_sample(stage(known), F.col("doc_id"), rows))
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
     sample = stage(sample.dropDuplicates(["doc_id", "text"]).select("text", "toxic"))
     characters = character_model(docs)
@@ -387,13 +387,14 @@ _SCORE = "__toxicity"
 
 def _with_score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    text = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = pa.array(shared.value.score(batch.column("text")))
+            scores = pa.array(shared.value.score(batch.column(text)))
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, _SCORE])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(_SCORE, DoubleType())]))
+    return with_added(docs, run, [StructField(_SCORE, DoubleType())])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:

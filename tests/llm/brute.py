@@ -72,12 +72,12 @@ def suffix_rows(rows, length=400):
     seen = Counter()
     texts = [(i, (t or "").encode()) for i, t in rows]
     for _, b in texts:
-        seen.update(b[p : p + length] for p in range(len(b) - length + 1))
+        seen.update(hash(b[p : p + length]) for p in range(len(b) - length + 1))
     out = []
     for i, b in texts:
         gone = np.zeros(len(b), dtype=bool)
         for p in range(len(b) - length + 1):
-            if seen[b[p : p + length]] > 1:
+            if seen[hash(b[p : p + length])] > 1:
                 gone[p : p + length] = True
         kept = np.frombuffer(b, dtype=np.uint8)[~gone].tobytes()
         spans = int((np.diff(np.concatenate([[False], gone]).astype(int)) == 1).sum())
@@ -126,12 +126,13 @@ def leak_rows(rows, items, size=5, share=0.8):
     for i, t in rows:
         words = token(t)
         parts = [words[k : k + wide] for k in range(0, max(1, len(words) - wide // 2), wide // 2)]
+        runs = {(n, p): {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} for n in range(1, size + 1) for p, w in enumerate(parts)}
         for item, text in items:
             w = token(text)
             n = min(size, len(w))
             wanted = [tuple(w[k : k + n]) for k in range(len(w) - n + 1)] if w else []
-            for part in parts:
-                have = {tuple(part[k : k + n]) for k in range(len(part) - n + 1)}
+            for p in range(len(parts)):
+                have = runs.get((n, p), set())
                 if wanted and sum(s in have for s in wanted) >= share * len(wanted) - 1e-9:
                     out.add((i, item))
     return sorted(out)
