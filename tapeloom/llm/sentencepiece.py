@@ -29,10 +29,10 @@ from tapeloom.llm.text import Chunk, chunks, hash_words, ragged
 
 MARK = "▁"
 THREADS = 2
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 # units encoded at a time, and units a worker remembers (a cache: results do not depend on it)
 BATCH_UNITS = 20_000
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 # Kinds of pieces and models in the model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6

@@ -39,7 +39,7 @@ BATCHES = 4
 # windows compared together in the step between whole candidates and single windows
 STRETCH = 16
 # a longer text is walked in segments of so many windows
-SEGMENT = 1 << 20
+SEGMENT = 1 << 19
 
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _BASE_INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 # words longer than this are hashed one by one instead of in lockstep
 LOCKSTEP_BYTES = 256
 
@@ -62,6 +62,8 @@ def chunks(column: pa.Array | pa.ChunkedArray, limit: int = CHUNK_BYTES) -> Iter
     offsets = np.frombuffer(ends, dtype=np.int64)[column.offset : column.offset + count + 1]
     data = np.frombuffer(bytes_, dtype=np.uint8) if bytes_ is not None and bytes_.size else np.zeros(0, np.uint8)
     first = 0
+    # what earlier batches have left in Arrow's pool goes back to the system
+    pa.default_memory_pool().release_unused()
     while first < count:
         last = int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1
         last = min(max(last, first + 1), count)
