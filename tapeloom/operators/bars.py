@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapeloom.functions.filters import between
+from tapeloom.plans.staging import stage
 
 BAR_SCHEMA = T.StructType(
     [
@@ -44,13 +45,21 @@ _TIME_UNITS = {"1h": "hour", "1m": "minute"}
 def _bar_start(ticks: DataFrame, ts: str, interval: str) -> Column:
     """Start of the bar holding ``ts``: a DATE from one day up, else of the type of ``ts``."""
     if interval in _TIME_UNITS:
-        return F.date_trunc(_TIME_UNITS[interval], ts).cast(ticks.schema[ts].dataType)
+        # a tumbling window keeps the type and counts a zone-less time as it is written
+        return F.window(ts, f"1 {_TIME_UNITS[interval]}")["start"]
     if interval not in _DATE_UNITS:
         raise ValueError(f"unknown interval {interval!r}")
     day = F.to_date(ts)
     return day if interval == "1d" else F.trunc(day, _DATE_UNITS[interval])
 
 
+def _volume(ticks: DataFrame, size: str) -> Column:
+    """Sum of sizes as a long, halves rounded away from zero; beyond a long the query fails."""
+    total = F.sum(size)
+    whole = isinstance(ticks.schema[size].dataType, T.IntegralType)
+    return (total if whole else F.round(total)).cast("bigint")
+
+
 def price_bars(
     ticks: DataFrame,
     tick_order: Sequence[str],
@@ -79,7 +88,7 @@ def price_bars(
         F.min(price).alias("low"),
         last.alias("close"),
         last.alias("adj_close"),
-        F.sum(size).try_cast("bigint").alias("volume"),
+        _volume(ticks, size).alias("volume"),
     )
 
 
@@ -88,12 +97,20 @@ def conform_bars(
     key: str = "ticker",
     day: str = "Date",
     ingested_at: datetime | Column | None = None,
+    timezone: str | None = None,
 ) -> DataFrame:
     """Vendor-shaped rows in the fixed bar schema.
 
+    ``timezone`` names the exchange's zone: the day of an instant is the day there,
+    whatever the session's zone. Without it, and for days and zone-less times, the
+    day is taken as written.
+
     Missing vendor columns become NULL, NaN prices are kept, and a volume that
     is not an integer (NaN) becomes NULL instead of failing the load.
     """
+    local = F.col(day)
+    if timezone is not None and isinstance(vendor.schema[day].dataType, T.TimestampType):
+        local = F.convert_timezone(F.current_timezone(), F.lit(timezone), local.cast("timestamp_ntz"))
     stamp = F.current_timestamp() if ingested_at is None else F.lit(ingested_at)
 
     def measure(source: str, target: str) -> Column:
@@ -103,7 +120,7 @@ def conform_bars(
 
     return vendor.select(
         F.col(key).cast("string").alias("ticker"),
-        F.to_date(day).alias("trade_date"),
+        F.to_date(local).alias("trade_date"),
         *(measure(source, target) for source, target in VENDOR_COLUMNS.items()),
         stamp.cast("timestamp").alias("ingestion_timestamp"),
     )
@@ -142,13 +159,13 @@ def require_universe(
     """The bars of the universe, or an error under the missing-ticker policy.
 
     Always fails when nothing at all was found; with ``fail_on_missing`` also
-    when any member is absent.
+    when any member is absent. The found rows are staged, so the input is read once.
     """
-    found = filter_universe(bars, universe, key)
+    found = stage(filter_universe(bars, universe, key))
     if found.isEmpty():
         raise RuntimeError("no data for any ticker of the universe")
     if fail_on_missing:
-        absent = missing_tickers(bars, universe, key).take(1)
+        absent = missing_tickers(found, universe, key).take(1)
         if absent:
             raise RuntimeError(f"no data for required ticker {absent[0]['ticker']}")
     return found

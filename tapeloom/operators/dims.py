@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tapeloom.functions.indicators import monday_week, price_band, valid_number
 from tapeloom.plans.ordering import with_dense_key
 
+# Columns of the ticker dimension, in order.
 DIM_COLUMNS = [
     "ticker_sk",
     "ticker",

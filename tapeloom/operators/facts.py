@@ -22,23 +22,36 @@ def fact_bars(
     as_of: date | str,
     config: FeatureConfig = DEFAULT_CONFIG,
 ) -> DataFrame:
-    """Bars with both surrogate keys; unseen tickers are inferred first.
+    """The fact of ``fact_and_dimension`` alone."""
+    return fact_and_dimension(silver, dim_ticker, dim_date, as_of, config)[0]
 
-    Every row joins the *current* version of its ticker. Days outside the
-    calendar have no key and are left out. The (ticker, key) pairs are staged,
-    so Catalyst decides between broadcast and shuffle from their real size; in
-    the shuffle case AQE splits a hot ticker (one dimension row per ticker).
+
+def fact_and_dimension(
+    silver: DataFrame,
+    dim_ticker: DataFrame,
+    dim_date: DataFrame,
+    as_of: date | str,
+    config: FeatureConfig = DEFAULT_CONFIG,
+) -> tuple[DataFrame, DataFrame]:
+    """(bars with both surrogate keys, ticker dimension completed by the inferred members).
+
+    Store both: the fact uses keys that only the completed dimension has. It is
+    staged here, so its keys are drawn once. Every row joins the *current* version of its ticker. Days outside the
+    calendar have no key and are left out. Catalyst decides between broadcast and
+    shuffle from the staged dimension's real size; in the shuffle case AQE splits
+    a hot ticker (one dimension row per ticker).
     """
-    members = with_inferred_members(silver, dim_ticker, as_of)
-    tickers = stage(members.filter("is_current").select("ticker", "ticker_sk"))
+    members = stage(with_inferred_members(silver, dim_ticker, as_of))
+    tickers = members.filter("is_current").select("ticker", "ticker_sk")
     # one row per calendar day: the DATE domain bounds the broadcast
     days = F.broadcast(dim_date.select(F.col("full_date").alias("trade_date"), "date_sk"))
     measures = [*PRICE_MEASURES, "is_illiquid", *config.derived_columns]
-    return (
+    fact = (
         silver.join(days, "trade_date")
         .join(tickers, "ticker")
         .select("ticker_sk", "date_sk", "ticker", "trade_date", *measures)
     )
+    return fact, members
 
 
 def new_fact_rows(fact: DataFrame, stored: DataFrame) -> DataFrame:

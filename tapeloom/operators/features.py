@@ -135,8 +135,8 @@ def silver_features(
 
     The passes are the price lag, all sliding frames, and the lags of blocks.
     The reference return is joined before the second one (broadcast at DATE
-    grain, so the rows stay where they are), after the lag because several
-    reference ticks may share a timestamp and repeat a row. ``bars`` is read
+    grain, so the rows stay where they are), reduced to one row per time, so
+    repeated times repeat no rows. ``bars`` is read
     twice (once filtered to the reference ticker): pass a table, not a long
     chain of transformations. Write the result before filtering on a feature:
     a filter would repeat the feature's whole expression below the projection.
@@ -247,10 +247,19 @@ def _correlation(layout: Layout, config: FeatureConfig, block: int | None) -> _F
 def _with_reference(
     df: DataFrame, source: DataFrame, config: FeatureConfig, series: Series
 ) -> DataFrame:
-    reference = source.filter(F.col(series.key) == config.reference_ticker).select(
-        F.col(series.order), F.col("log_return").alias(_REFERENCE)
+    """Add the reference's return at the same time; the number of rows never changes.
+
+    Of several reference rows at one time the last by ``series.tie`` counts, without
+    a tie the one with the greatest return.
+    """
+    value = F.col("log_return")
+    one = F.max_by(value, F.struct(*series.tie)) if series.tie else F.max(value)
+    reference = (
+        source.filter(F.col(series.key) == config.reference_ticker)
+        .groupBy(series.order)
+        .agg(one.alias(_REFERENCE))
     )
     if series.calendar_bound(df):
-        # one row per calendar day: the DATE domain bounds the broadcast
+        # one row per day, by the aggregation: the DATE domain bounds the broadcast
         reference = F.broadcast(reference)
     return df.join(reference, series.order, "left")

@@ -38,14 +38,17 @@ def standardise(
     return fitted.transform(complete), fitted.stages[-1]
 
 
-def settle_rows(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
+# partitions that a seeded fit sees: part of its parameters, not of the session
+FIT_PARTITIONS = 16
+
+
+def settle_rows(df: DataFrame, order: Sequence[str], partitions: int = FIT_PARTITIONS) -> DataFrame:
     """Same rows in the same partitions and order on every run.
 
     Seeded ML estimators draw per partition, so their result depends on the
-    layout. Hashing the whole key spreads a hot ticker over all partitions.
+    layout. Hashing the whole key spreads a hot ticker over all partitions. More
+    data needs more ``partitions``; the number belongs to the fit's parameters.
     """
-    if partitions is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(partitions, *order).sortWithinPartitions(*order)
 
 
@@ -105,6 +108,7 @@ class RegimeRun:
     scaler: StandardScalerModel
     silhouette: float
     labels: dict[int, str]
+    partitions: int
 
 
 def kmeans_regimes(
@@ -113,17 +117,23 @@ def kmeans_regimes(
     features: Sequence[str] = CLUSTER_FEATURES,
     order: Sequence[str] = ("ticker", "trade_date"),
     labels: Mapping[int, str] | None = None,
-    partitions: int | None = None,
+    partitions: int = FIT_PARTITIONS,
 ) -> RegimeRun:
-    """Cluster standardised features; names come from the centres or from ``labels``."""
+    """Cluster standardised features; names come from the centres or from ``labels``.
+
+    Only keys and vectors are settled and cached for the fit and its silhouette; all
+    other columns stay where they are and no vector is written.
+    """
     scaled, scaler = standardise(silver, features)
-    scaled = settle_rows(stage(scaled), order, partitions)
-    model = _kmeans(k).fit(scaled)
-    clustered = stage(model.transform(scaled))
-    score = silhouette(clustered)
+    narrow = settle_rows(scaled.select(*order, SCALED), order, partitions).persist()
+    try:
+        model = _kmeans(k).fit(narrow)
+        score = silhouette(model.transform(narrow))
+    finally:
+        narrow.unpersist()
     names = labels_from_centres(model, features) if labels is None else dict(labels)
-    regimes = label_regimes(clustered, names).drop(RAW, SCALED)
-    return RegimeRun(regimes, model, scaler, score, names)
+    regimes = label_regimes(stage(model.transform(scaled).drop(RAW, SCALED)), names)
+    return RegimeRun(regimes, model, scaler, score, names, partitions)
 
 
 def k_sweep(
@@ -131,11 +141,11 @@ def k_sweep(
     k_range: Sequence[int] = (2, 3, 4, 5, 6, 7, 8),
     features: Sequence[str] = CLUSTER_FEATURES,
     order: Sequence[str] = ("ticker", "trade_date"),
-    partitions: int | None = None,
+    partitions: int = FIT_PARTITIONS,
 ) -> DataFrame:
     """(k, silhouette) for every k, fitted on one cached standardised frame."""
     scaled, _ = standardise(silver, features)
-    scaled = settle_rows(stage(scaled.select(*order, SCALED)), order, partitions).persist()
+    scaled = settle_rows(scaled.select(*order, SCALED), order, partitions).persist()
     try:
         scores = [(k, silhouette(_kmeans(k).fit(scaled).transform(scaled))) for k in k_range]
     finally:

@@ -113,3 +113,31 @@ def test_missing_tickers_and_policy(spark):
     with pytest.raises(RuntimeError, match="no data"):
         require_universe(df.filter("ticker = 'ZZZ'"), universe)
     assert require_universe(df, universe.filter("ticker <> 'CCC'"), True).count() == 2
+
+
+def test_volume_beyond_a_long_fails_instead_of_vanishing(spark):
+    ticks = spark.sql(
+        "select * from values ('A', timestamp_ntz'2024-01-02 10:00:00', 1, 1.0D, 9223372036854775807L),"
+        " ('A', timestamp_ntz'2024-01-02 11:00:00', 2, 1.0D, 1L) as t(ticker, ts, seq, price, size)"
+    )
+    with pytest.raises(Exception, match="OVERFLOW"):
+        price_bars(ticks, ["seq"]).collect()
+    parts = ticks.withColumn("size", F.lit(0.25)).select("ticker", "ts", "seq", "price", "size")
+    assert price_bars(parts, ["seq"]).first()["volume"] == 1
+
+
+@pytest.mark.parametrize("zone", ["Europe/Berlin", "Asia/Tokyo", "UTC"])
+def test_bars_do_not_depend_on_the_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        ticks = spark.sql(
+            "select * from values ('A', timestamp_ntz'2024-03-31 02:30:00', 1, 1.0D, 1L),"
+            " ('A', timestamp_ntz'2024-03-31 03:10:00', 2, 2.0D, 1L) as t(ticker, ts, seq, price, size)"
+        )
+        hours = price_bars(ticks, ["seq"], order="at", interval="1h").orderBy("at").collect()
+        assert [r["at"].hour for r in hours] == [2, 3]
+        vendor = spark.sql("select 'A' as ticker, timestamp'2024-01-02 00:00:00+09:00' as Date, 1.0D as Open")
+        assert str(conform_bars(vendor, timezone="Asia/Tokyo").first()["trade_date"]) == "2024-01-02"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -249,3 +249,12 @@ def test_one_shuffle_by_ticker_and_shared_windows(spark, tmp_path):
     assert "SortMergeJoin" not in text
     assert text.count("+- Window ") + text.count(":- Window ") == 3  # lag, rolling, reference lag
     assert "PushedFilters: [IsNotNull(ticker), EqualTo(ticker,REF)]" in text
+
+
+def test_repeated_reference_days_repeat_no_rows(spark):
+    df = bars(spark, AAA=[10.0 + k % 5 for k in range(30)], REF=[20.0 + k % 7 for k in range(30)])
+    config = FeatureConfig(reference_ticker="REF", correlation_window=5)
+    once = silver_features(df, config)
+    doubled = df.unionByName(df.filter("ticker = 'REF'"))
+    assert silver_features(doubled, config).count() == 90
+    assert silver_features(doubled, config).filter("ticker = 'AAA'").count() == once.filter("ticker = 'AAA'").count()

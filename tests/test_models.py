@@ -1,5 +1,6 @@
 import math
 import random
+from datetime import date, timedelta
 
 import pytest
 from pyspark.ml.classification import RandomForestClassificationModel
@@ -192,3 +193,57 @@ def test_models_survive_a_round_trip(spark, blobs, forest, tmp_path):
         regimes.VectorAssembler(inputCols=FEATURES, outputCol=regimes.RAW).transform(blobs)
     )
     assert column(loaded.transform(scaled), "cluster") == column(run.regimes, "cluster")
+
+
+def test_forest_takes_more_classes_than_a_hundred(spark):
+    from tapeloom.operators.classify import rf_predictions
+
+    rows = [
+        (f"T{c:03d}", date(2024, 1, 1) + timedelta(days=d), f"class{c:03d}", float(c))
+        for c in range(120)
+        for d in range(6)
+    ]
+    frame = spark.createDataFrame(rows, "ticker string, trade_date date, regime_label string, level double")
+    run = rf_predictions(frame, ["level"], train_end="2024-01-03", exclude=(), trees=2, depth=2)
+    assert run.labels.count() == 120
+    assert run.predictions.where("predicted_regime is not null").count() == 240
+
+
+def test_split_by_timestamp_and_other_key(spark):
+    from tapeloom.operators.classify import time_split
+
+    frame = spark.sql(
+        "select * from values ('a', timestamp_ntz'2024-12-31 10:00:00'), ('a', timestamp_ntz'2025-01-01 00:00:00'),"
+        " ('x', timestamp_ntz'2024-01-01 00:00:00') as t(name, at)"
+    )
+    train, test = time_split(frame, "2024-12-31", ["x"], day="at", key="name")
+    assert [train.count(), test.count()] == [1, 1]
+
+
+def test_decoding_beyond_the_known_names(spark):
+    from tapeloom.operators.classify import decode_prediction
+
+    rows = spark.createDataFrame([(0.0,), (1.0,), (5.0,), (None,)], "prediction double")
+    decoded = decode_prediction(rows, ["a", "b"]).collect()
+    assert [r["predicted_regime"] for r in decoded] == ["a", "b", None, None]
+
+
+def test_seeded_fit_does_not_depend_on_the_session(spark):
+    from tapeloom.operators.regimes import kmeans_regimes
+
+    rows = [
+        (f"T{k % 9}", date(2024, 1, 1) + timedelta(days=k), (k * 37 % 11) / 10, (k * 13 % 7) / 5, float(k % 100), (k % 3) / 3)
+        for k in range(400)
+    ]
+    names = "ticker string, trade_date date, log_return double, volatility_20d double, rsi double, corr_vix_60d double"
+    frame, seen = spark.createDataFrame(rows, names), []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (3, 7):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            run = kmeans_regimes(frame)
+            seen.append((run.silhouette, sorted(map(tuple, run.regimes.select("ticker", "trade_date", "cluster").collect()))))
+            assert run.partitions == 16 and "features_scaled" not in run.regimes.columns
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0] == seen[1]

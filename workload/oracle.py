@@ -60,6 +60,13 @@ NAN_BARS = """nan_bars AS (
                              THEN CAST('nan' AS DOUBLE) ELSE adj_close END AS adj_close)
       FROM bars)"""
 
+BROKEN_BARS = """broken AS (
+      SELECT * REPLACE (CASE WHEN day(trade_date) = 7 THEN NULL
+                             WHEN month(trade_date) = 12 AND day(trade_date) = 13
+                             THEN CAST('nan' AS DOUBLE) ELSE adj_close END AS adj_close,
+                        CASE WHEN day(trade_date) <> 21 THEN volume END AS volume)
+      FROM bars)"""
+
 # ------------------------------------------------------------ features
 
 
@@ -108,11 +115,14 @@ def _correlation(config: FeatureConfig, order: str) -> str:
     return f"corr(log_return, reference_return) OVER {_frame(config.correlation_window, order)}"
 
 
-def _reference(config: FeatureConfig, day: str) -> str:
+def _reference(config: FeatureConfig, day: str, order: str = "log_return") -> str:
+    # one reference row per time: the last in the order of the series
     return f"""joined AS (
       SELECT r.*, f.reference_return FROM returns r LEFT JOIN (
         SELECT {day}, log_return AS reference_return FROM returns
-        WHERE ticker = '{config.reference_ticker}') f ON r.{day} = f.{day})"""
+        WHERE ticker = '{config.reference_ticker}'
+        QUALIFY row_number() OVER (PARTITION BY {day} ORDER BY {order} DESC) = 1) f
+      ON r.{day} = f.{day})"""
 
 
 def _silver(
@@ -136,7 +146,7 @@ def _silver(
     final = ", ".join(f"{clean(name)} AS {name}" for name in ["log_return", *derived])
     kept = ", ".join(columns)
     return f"""{_returns(source, order, config.price_column)},
-    {_reference(config, day)},
+    {_reference(config, day, order.split(", ")[-1])},
     featured AS (
       SELECT {kept}, log_return,
              CASE WHEN ticker IN ({exempt}) THEN FALSE
@@ -147,6 +157,7 @@ def _silver(
       SELECT {kept}, is_illiquid, {final} FROM featured)"""
 
 
+# Bar columns in order.
 BAR_COLUMNS = ["ticker", "trade_date", "open", "high", "low", "close", "adj_close", "volume"]
 SILVER = _silver("bars", BRAND_CONFIG, "trade_date", BAR_COLUMNS)
 SILVER_EXACT = _silver("bars", BRAND_CONFIG, "trade_date", BAR_COLUMNS, digits=False)
@@ -220,8 +231,7 @@ STAR = f"""{BRAND_BARS},
       SELECT ticker, CAST((SELECT max(ticker_sk) FROM known)
                           + row_number() OVER (ORDER BY ticker) AS INTEGER)
       FROM (SELECT DISTINCT ticker FROM silver WHERE ticker NOT IN (SELECT ticker FROM known))),
-    calendar AS ({_calendar(f"(SELECT * FROM silver WHERE trade_date <= DATE '{q.CALENDAR_END}')",
-                            'trade_date')}),
+    calendar AS ({_calendar('silver', 'trade_date')}),
     fact AS (
       SELECT m.ticker_sk, c.date_sk, s.*
       FROM silver s JOIN members m ON s.ticker = m.ticker
@@ -229,6 +239,7 @@ STAR = f"""{BRAND_BARS},
 
 # ------------------------------------------------------------- regimes
 
+# Features of the clustering and of the classifier.
 CLUSTER = ["log_return", "volatility_20d", "rsi", "corr_vix_60d"]
 CLASSIFIER = [
     "log_return",
@@ -410,6 +421,15 @@ ORACLE: dict[str, str] = {
             WHERE ticker_sk NOT IN (SELECT ticker_sk FROM known)),
            (SELECT count(DISTINCT date_sk) AS d FROM fact
             WHERE date_sk NOT IN (SELECT date_sk FROM calendar WHERE year < 2000))""",
+    "fact_integrity": _with(STAR)
+    + """SELECT CAST(0 AS BIGINT) AS orphan_ticker_keys, CAST(0 AS BIGINT) AS orphan_date_keys,
+             count(*) = (SELECT count(*) FROM bars) AS is_healthy FROM fact""",
+    "fact_calendar_gap": _with(BRAND_BARS)
+    + f"""SELECT ticker, trade_date FROM bars
+          WHERE year(trade_date) > (SELECT max(year(trade_date)) FROM bars
+                                    WHERE trade_date <= DATE '{q.CALENDAR_GAP_END}')""",
+    "silver_features_nan": _with(BRAND_BARS, BROKEN_BARS, _silver("broken", BRAND_CONFIG, "trade_date", BAR_COLUMNS))
+    + "SELECT * FROM silver",
     "quality_profile": _with(BRAND_BARS, NAN_BARS, _returns("nan_bars"))
     + " UNION ALL ".join(
         _profile_row(c)

@@ -41,7 +41,9 @@ OLD_STATE_END = "1998-12-31"
 AS_OF = "2001-12-31"
 DIM_CUTOFF = "1995-01-03"
 PART_DIM_CUTOFF = "1995-01-31"
-CALENDAR_END = "2000-12-31"
+CALENDAR_GAP_END = "2000-12-31"
+# small chunks, so that the checks at small scale cut every series
+CHECK_CHUNK_ROWS = 250
 TRAIN_END = "2000-12-31"
 CALM_LIMIT = 1.75
 # rule-based regime names in the order of their class index
@@ -60,6 +62,17 @@ def with_nan_prices(bars: DataFrame) -> DataFrame:
     )
 
 
+def broken_bars(bars: DataFrame) -> DataFrame:
+    """NaN prices on 13 December, NULL prices on every 7th and NULL volumes on every 21st."""
+    day = F.dayofmonth("trade_date")
+    return with_nan_prices(bars).withColumns(
+        {
+            "adj_close": F.when(day != 7, F.col("adj_close")),
+            "volume": F.when(day != 21, F.col("volume")),
+        }
+    )
+
+
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.silver_features(stage(brand_bars(spark, sf_dir)), BRAND_CONFIG)
 
@@ -177,7 +190,7 @@ def silver_features_parts(spark, sf_dir):
 def hourly_features(spark, sf_dir):
     """Timestamp grain: series without a row bound take the chunked layout."""
     rows = features.silver_features(
-        stage(hourly_bars(spark, sf_dir)), EVENT_CONFIG, Series(order="bar_start")
+        stage(hourly_bars(spark, sf_dir)), EVENT_CONFIG, Series(order="bar_start", chunk_rows=CHECK_CHUNK_ROWS)
     )
     return rounded(rows, EVENT_CONFIG.derived_columns)
 
@@ -185,7 +198,7 @@ def hourly_features(spark, sf_dir):
 def tick_features(spark, sf_dir):
     """All features over raw ticks: few, very long series without a row bound."""
     ticks = event_ticks(spark, sf_dir).withColumnRenamed("size", "volume")
-    rows = features.silver_features(ticks, TICK_CONFIG, Series(order="ts", tie=("event_id",)))
+    rows = features.silver_features(ticks, TICK_CONFIG, Series(order="ts", tie=("event_id",), chunk_rows=CHECK_CHUNK_ROWS))
     return rounded(rows, TICK_CONFIG.derived_columns)
 
 
@@ -233,14 +246,14 @@ def inferred_members(spark, sf_dir):
 
 
 def _star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(fact, ticker dimension before the fact run, calendar, features)."""
+    """(fact, ticker dimension before the fact run, calendar, completed dimension)."""
     rows = stage(silver(spark, sf_dir))
     day = F.col("trade_date")
     early = rows.filter(day <= F.lit(DIM_CUTOFF).cast("date"))
     dim_ticker = stage(dims.scd2_initial(early, bands=BANDS))
-    dim_date = dims.calendar_dim_for(rows.filter(day <= F.lit(CALENDAR_END).cast("date")))
-    fact = facts.fact_bars(rows, dim_ticker, dim_date, AS_OF, BRAND_CONFIG)
-    return fact, dim_ticker, dim_date, rows
+    dim_date = dims.calendar_dim_for(rows)
+    fact, completed = facts.fact_and_dimension(rows, dim_ticker, dim_date, AS_OF, BRAND_CONFIG)
+    return fact, dim_ticker, dim_date, completed
 
 
 def fact_bars(spark, sf_dir):
@@ -261,6 +274,29 @@ def referential_integrity(spark, sf_dir):
     return facts.referential_integrity(stage(fact), dim_ticker, dim_date.filter(F.col("year") < 2000))
 
 
+def fact_integrity(spark, sf_dir):
+    """The fact against the completed dimension and the whole calendar: healthy."""
+    fact, _, dim_date, completed = _star(spark, sf_dir)
+    return facts.referential_integrity(stage(fact), completed, dim_date)
+
+
+def fact_calendar_gap(spark, sf_dir):
+    """Days that a calendar ending early leaves out of the fact."""
+    rows = stage(silver(spark, sf_dir))
+    early = rows.filter(F.col("trade_date") <= F.lit(CALENDAR_GAP_END).cast("date"))
+    dim_ticker = stage(dims.scd2_initial(rows, bands=BANDS))
+    fact = facts.fact_bars(rows, dim_ticker, dims.calendar_dim_for(early), AS_OF, BRAND_CONFIG)
+    return rows.join(fact, ["ticker", "trade_date"], "left_anti").select("ticker", "trade_date")
+
+
+def silver_features_nan(spark, sf_dir):
+    """All features over NaN and NULL prices and NULL volumes."""
+    return rounded(
+        features.silver_features(stage(broken_bars(brand_bars(spark, sf_dir))), BRAND_CONFIG),
+        BRAND_CONFIG.derived_columns,
+    )
+
+
 def quality_profile(spark, sf_dir):
     bars = with_nan_prices(brand_bars(spark, sf_dir))
     rows = features.log_returns(bars, BRAND_CONFIG)
@@ -420,6 +456,9 @@ QUERIES: dict[str, Query] = {
     "fact_bars": fact_bars,
     "fact_append": fact_append,
     "referential_integrity": referential_integrity,
+    "fact_integrity": fact_integrity,
+    "fact_calendar_gap": fact_calendar_gap,
+    "silver_features_nan": silver_features_nan,
     "quality_profile": quality_profile,
     "flag_profile": flag_profile,
     "zscore_features": zscore_features,
