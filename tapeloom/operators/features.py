@@ -22,6 +22,7 @@ from tapeloom.plans.series import Layout, Series, lay_out
 
 _PREVIOUS = "_previous"
 _REFERENCE = "_reference_return"
+_BEFORE = "_time_before"
 
 
 @dataclass(frozen=True)
@@ -114,7 +115,8 @@ def reference_correlation(
 ) -> DataFrame:
     """Rolling correlation of ``log_return`` with the reference ticker's return."""
     layout = lay_out(df, series, before=config.correlation_window - 1)
-    frame = _with_reference(layout.frame, layout.own(layout.frame), config, series)
+    reference = _reference_rows(layout, config, series)
+    frame = _with_reference(layout.frame, reference, layout, series)
     block = block_rows([config.correlation_window])
     return layout.close(_add(frame, _correlation(layout, config, block)).drop(_REFERENCE))
 
@@ -143,9 +145,8 @@ def silver_features(
     """
     layout = lay_out(bars, series, before=config.reach)
     frame = _with_return(layout.frame, layout, config)
-    reference = layout.frame.filter(F.col(series.key) == config.reference_ticker)
-    reference = layout.own(_with_return(reference, layout, config))
-    frame = _with_reference(frame, reference, config, series)
+    reference = _with_return(_reference_rows(layout, config, series), layout, config)
+    frame = _with_reference(frame, reference, layout, series)
     block = block_rows([*config.volatility_windows, config.correlation_window])
     frame = _add(
         frame.withColumn("is_illiquid", _illiquid(config, series.key)),
@@ -244,22 +245,26 @@ def _correlation(layout: Layout, config: FeatureConfig, block: int | None) -> _F
     return feature
 
 
+def _reference_rows(layout: Layout, config: FeatureConfig, series: Series) -> DataFrame:
+    """Rows of the reference ticker, each with the time of the row before it."""
+    rows = layout.frame.filter(F.col(series.key) == config.reference_ticker)
+    return rows.withColumn(_BEFORE, F.lag(series.order).over(layout.window))
+
+
 def _with_reference(
-    df: DataFrame, source: DataFrame, config: FeatureConfig, series: Series
+    df: DataFrame, source: DataFrame, layout: Layout, series: Series
 ) -> DataFrame:
     """Add the reference's return at the same time; the number of rows never changes.
 
-    Of several reference rows at one time the last by ``series.tie`` counts, without
-    a tie the one with the greatest return.
+    Of several reference rows at one time the first in the order of the series
+    counts. The row before is always at hand (in a chunk as halo), so this needs no
+    shuffle of its own.
     """
-    value = F.col("log_return")
-    one = F.max_by(value, F.struct(*series.tie)) if series.tie else F.max(value)
-    reference = (
-        source.filter(F.col(series.key) == config.reference_ticker)
-        .groupBy(series.order)
-        .agg(one.alias(_REFERENCE))
+    first = ~F.col(_BEFORE).eqNullSafe(F.col(series.order))
+    reference = layout.own(source).filter(first).select(
+        F.col(series.order), F.col("log_return").alias(_REFERENCE)
     )
     if series.calendar_bound(df):
-        # one row per day, by the aggregation: the DATE domain bounds the broadcast
+        # one row per day, by the filter: the DATE domain bounds the broadcast
         reference = F.broadcast(reference)
     return df.join(reference, series.order, "left")

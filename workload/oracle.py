@@ -116,12 +116,12 @@ def _correlation(config: FeatureConfig, order: str) -> str:
 
 
 def _reference(config: FeatureConfig, day: str, order: str = "log_return") -> str:
-    # one reference row per time: the last in the order of the series
+    # one reference row per time: the first in the order of the series
     return f"""joined AS (
       SELECT r.*, f.reference_return FROM returns r LEFT JOIN (
         SELECT {day}, log_return AS reference_return FROM returns
         WHERE ticker = '{config.reference_ticker}'
-        QUALIFY row_number() OVER (PARTITION BY {day} ORDER BY {order} DESC) = 1) f
+        QUALIFY row_number() OVER (PARTITION BY {day} ORDER BY {order}) = 1) f
       ON r.{day} = f.{day})"""
 
 
