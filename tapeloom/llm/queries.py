@@ -11,6 +11,7 @@ from tapeloom.llm.decontaminate import benchmark_leaks
 from tapeloom.llm.embeddings import vector_groups
 from tapeloom.llm.language import languages
 from tapeloom.llm.language_model import score_texts
+from tapeloom.llm.oracle import ORACLE  # noqa: F401
 from tapeloom.llm.sentencepiece import encode_digest
 from tapeloom.llm.sharding import byte_shards
 from tapeloom.llm.simhash import simhash_groups
@@ -76,5 +77,3 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
 }
-
-ORACLE: dict[str, str] = {}
