@@ -20,7 +20,6 @@ from tapeloom.functions.moments import (
 )
 from tapeloom.plans.series import Layout, Series, lay_out
 
-_PREVIOUS = "_previous"
 _REFERENCE = "_reference_return"
 _BEFORE = "_time_before"
 
@@ -32,6 +31,10 @@ class FeatureConfig:
     volume_exempt_tickers: tuple[str, ...] = ("^VIX",)
     illiquid_volume_threshold: int = 0
     price_column: str = "adj_close"
+    # None: ``price_column``
+    return_column: str | None = None
+    ma_column: str | None = None
+    rsi_column: str | None = None
     volatility_windows: tuple[int, ...] = (20, 60)
     ma_windows: tuple[int, ...] = (20, 50, 200)
     rsi_window: int = 14
@@ -39,6 +42,18 @@ class FeatureConfig:
     reference_name: str = "vix"
     correlation_window: int = 60
 
+    @property
+    def return_price(self) -> str:
+        return self.return_column or self.price_column
+
+    @property
+    def ma_price(self) -> str:
+        return self.ma_column or self.price_column
+
+    @property
+    def rsi_price(self) -> str:
+        return self.rsi_column or self.price_column
+
     @property
     def correlation_column(self) -> str:
         return f"corr_{self.reference_name}_{self.correlation_window}d"
@@ -79,7 +94,8 @@ def log_returns(
 ) -> DataFrame:
     """``log_return`` against the previous row of the same ticker."""
     layout = lay_out(df, series, before=1)
-    return layout.close(_with_return(layout.frame, layout, config).drop(_PREVIOUS))
+    frame = _with_previous(layout.frame, layout, config.return_price)
+    return layout.close(_with_return(frame, config).drop(_previous(config.return_price)))
 
 
 def rolling_volatility(
@@ -104,10 +120,8 @@ def relative_strength(
 ) -> DataFrame:
     """``rsi`` over the last N price changes."""
     layout = lay_out(df, series, before=config.rsi_window)
-    frame = layout.frame.withColumn(
-        _PREVIOUS, F.lag(config.price_column).over(layout.window)
-    )
-    return layout.close(_add(frame, _strength(layout, config)).drop(_PREVIOUS))
+    frame = _with_previous(layout.frame, layout, config.rsi_price)
+    return layout.close(_add(frame, _strength(layout, config)).drop(_previous(config.rsi_price)))
 
 
 def reference_correlation(
@@ -144,8 +158,10 @@ def silver_features(
     a filter would repeat the feature's whole expression below the projection.
     """
     layout = lay_out(bars, series, before=config.reach)
-    frame = _with_return(layout.frame, layout, config)
-    reference = _with_return(_reference_rows(layout, config, series), layout, config)
+    frame = _with_previous(layout.frame, layout, config.return_price, config.rsi_price)
+    frame = _with_return(frame, config)
+    reference = _with_previous(_reference_rows(layout, config, series), layout, config.return_price)
+    reference = _with_return(reference, config)
     frame = _with_reference(frame, reference, layout, series)
     block = block_rows([*config.volatility_windows, config.correlation_window])
     frame = _add(
@@ -193,11 +209,17 @@ def _illiquid(config: FeatureConfig, key: str) -> Column:
     )
 
 
-def _with_return(df: DataFrame, layout: Layout, config: FeatureConfig) -> DataFrame:
-    price = F.col(config.price_column)
-    return df.withColumn(_PREVIOUS, F.lag(price).over(layout.window)).withColumn(
-        "log_return", log_ratio(price, F.col(_PREVIOUS))
-    )
+def _previous(price: str) -> str:
+    return f"_previous_{price}"
+
+
+def _with_previous(df: DataFrame, layout: Layout, *prices: str) -> DataFrame:
+    return df.withColumns({_previous(p): F.lag(p).over(layout.window) for p in prices})
+
+
+def _with_return(df: DataFrame, config: FeatureConfig) -> DataFrame:
+    price = config.return_price
+    return df.withColumn("log_return", log_ratio(F.col(price), F.col(_previous(price))))
 
 
 def _volatility(layout: Layout, config: FeatureConfig, block: int | None) -> _Feature:
@@ -214,7 +236,7 @@ def _volatility(layout: Layout, config: FeatureConfig, block: int | None) -> _Fe
 
 
 def _averages(layout: Layout, config: FeatureConfig) -> _Feature:
-    price = config.price_column
+    price = config.ma_price
     return _Feature(
         {f"ma_{n}": F.col(f"_mean_{n}") for n in config.ma_windows},
         {f"_mean_{n}": F.avg(price).over(layout.rows(n)) for n in config.ma_windows},
@@ -222,7 +244,7 @@ def _averages(layout: Layout, config: FeatureConfig) -> _Feature:
 
 
 def _strength(layout: Layout, config: FeatureConfig) -> _Feature:
-    change = F.col(config.price_column) - F.col(_PREVIOUS)
+    change = F.col(config.rsi_price) - F.col(_previous(config.rsi_price))
     frame = layout.rows(config.rsi_window)
     gain = F.avg(F.when(change > 0, change).otherwise(0.0)).over(frame)
     loss = F.avg(F.when(change < 0, -change).otherwise(0.0)).over(frame)

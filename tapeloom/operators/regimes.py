@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,6 +94,22 @@ def _kmeans(k: int) -> KMeans:
     return KMeans(featuresCol=SCALED, predictionCol="cluster", k=k, seed=42)
 
 
+def squared_distance(values: Sequence[Column], centre: Sequence[float]) -> Column:
+    parts = [(v - F.lit(float(c))) * (v - F.lit(float(c))) for v, c in zip(values, centre)]
+    return reduce(Column.__add__, parts)
+
+
+def nearest_centre(scaled: DataFrame, centres: Sequence[Sequence[float]]) -> DataFrame:
+    """``cluster``: the nearest of given centres in z-scored space, the lower id of equals."""
+    vector = vector_to_array(SCALED)
+    values = [vector[i] for i in range(len(centres[0]))]
+    ranked = [
+        F.struct(squared_distance(values, c).alias("distance"), F.lit(i).alias("id"))
+        for i, c in enumerate(centres)
+    ]
+    return scaled.withColumn("cluster", F.array_min(F.array(*ranked)).getField("id"))
+
+
 def silhouette(clustered: DataFrame) -> float:
     evaluator = ClusteringEvaluator(
         featuresCol=SCALED, predictionCol="cluster", metricName="silhouette"

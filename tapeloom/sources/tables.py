@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapeloom.functions.filters import between
-from tapeloom.plans.staging import stage
-
 DEFAULT_FORMAT = "parquet"
 
 
@@ -40,14 +38,16 @@ def read_landed(
     return between(rows, day, start_date, end_date)
 
 
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.read.table(name)
-
-
 def _is_path(target: str) -> bool:
     return "/" in target
 
 
+def read_table(spark: SparkSession, target: str, format: str = DEFAULT_FORMAT, **options: str) -> DataFrame:
+    """A table by name or a path; ``mergeSchema="true"`` shows columns that only later files hold."""
+    reader = spark.read.options(**options)
+    return reader.format(format).load(target) if _is_path(target) else reader.table(target)
+
+
 def write_table(
     df: DataFrame,
     target: str,
@@ -69,14 +69,50 @@ def write_table(
     return counted.get["rows"]
 
 
-def append_table(df: DataFrame, target: str, format: str = DEFAULT_FORMAT) -> int:
+def append_table(
+    df: DataFrame, target: str, format: str = DEFAULT_FORMAT, merge_schema: bool = False
+) -> int:
+    """Append; with ``merge_schema`` new columns join a named table and missing ones are NULL.
+
+    Files under a path carry their own columns: read them with ``mergeSchema="true"``.
+    """
+    if merge_schema and not _is_path(target) and df.sparkSession.catalog.tableExists(target):
+        df = _merged(df, target)
     return write_table(df, target, mode="append", format=format)
 
 
+def _merged(df: DataFrame, target: str) -> DataFrame:
+    spark = df.sparkSession
+    stored = spark.read.table(target).schema
+    known = {f.name.lower() for f in stored}
+    fresh = [f for f in df.schema if f.name.lower() not in known]
+    if fresh:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fresh)
+        spark.sql(f"alter table {target} add columns ({columns})")
+    given = {name.lower() for name in df.columns}
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in stored if f.name.lower() not in given}
+    return df.withColumns(absent)
+
+
 def replace_table(df: DataFrame, target: str, format: str = DEFAULT_FORMAT) -> int:
     """Overwrite ``target`` with a frame that may itself read ``target``.
 
-    The new content is staged in the shared folder first, so the table is only
-    touched once its complete successor exists on durable storage.
+    The successor is written in full beside the target (``.next`` of a path,
+    ``__next`` of a table) and then takes its name. A crash before the switch leaves the target as it was,
+    one during the switch leaves the complete successor under that name.
     """
-    return write_table(stage(df), target, mode="overwrite", format=format)
+    spark = df.sparkSession
+    if not _is_path(target):
+        rows = write_table(df, f"{target}__next", format=format)
+        spark.sql(f"drop table if exists {target}")
+        spark.sql(f"alter table {target}__next rename to {target}")
+        return rows
+    target = target.rstrip("/")
+    rows = write_table(df, f"{target}.next", format=format)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(path(target), True)
+    if not files.rename(path(f"{target}.next"), path(target)):
+        raise OSError(f"{target}.next holds the new rows but could not be renamed")
+    spark.catalog.refreshByPath(target)
+    return rows

@@ -208,6 +208,18 @@ def test_silver_equals_the_single_operators(spark):
             close_to(column(silver, name), column(steps, name))
 
 
+def test_each_feature_takes_its_own_price(spark):
+    df = bars(spark, AAA=[1.0, 2.0, 4.0]).withColumns({"open": F.lit(5.0), "close": F.col("adj_close") * -1 + 9})
+    config = FeatureConfig(return_column="adj_close", ma_column="open", rsi_column="close", rsi_window=1, ma_windows=(2,))
+    rows = silver_features(df, config).orderBy("trade_date").collect()
+    assert [r["ma_2"] for r in rows] == [5.0, 5.0, 5.0]
+    assert rows[2]["log_return"] == pytest.approx(math.log(2))
+    # falling closes: no gain at all
+    assert rows[2]["rsi"] == 0.0
+    single = relative_strength(df, config).orderBy("trade_date").collect()
+    assert [r["rsi"] for r in single] == [r["rsi"] for r in rows]
+
+
 def test_default_columns_are_the_published_ones():
     assert FeatureConfig().derived_columns == [
         "log_return",

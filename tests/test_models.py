@@ -8,6 +8,7 @@ from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from helpers import close_to, column, day
@@ -65,6 +66,12 @@ def test_kmeans_does_not_depend_on_the_input_layout(blobs):
     assert clusters(blobs) == clusters(blobs.orderBy(F.desc("log_return")).repartition(5))
 
 
+def test_nearest_centre_prefers_the_lower_id_of_equals(spark):
+    rows = spark.createDataFrame([(Vectors.dense(0.0, 0.0),), (Vectors.dense(0.9, 0.0),)], [regimes.SCALED])
+    found = regimes.nearest_centre(rows, [(5.0, 5.0), (1.0, 0.0), (-1.0, 0.0)])
+    assert [r["cluster"] for r in found.collect()] == [1, 1]
+
+
 def test_fixed_labels_leave_other_clusters_unknown(blobs):
     run = regimes.kmeans_regimes(blobs, k=4, features=FEATURES, labels=regimes.REGIME_LABELS)
     rows = run.regimes.select("cluster", "regime_label").distinct().collect()

@@ -13,7 +13,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
 
-# fitted models: rows only; their invariants are in test_models.py
+# fitted models: rows only; kmeans_fit and forest_fit check what their rows must fulfil
 MODELS = {"kmeans_regimes", "k_sweep", "rf_predictions", "feature_importance"}
 
 

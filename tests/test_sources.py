@@ -74,6 +74,37 @@ def test_named_tables(spark):
         use_namespace(spark, before)
 
 
+def test_new_columns_join_a_table_on_append(spark):
+    spark.sql("create database if not exists market")
+    try:
+        write_table(bars(spark, AAA=[1.0]), "market.grown")
+        fresh = bars(spark, BBB=[2.0]).drop("volume").withColumn("note", F.lit("x"))
+        assert append_table(fresh, "market.grown", merge_schema=True) == 1
+        rows = read_table(spark, "market.grown").orderBy("ticker").collect()
+        assert [(r["ticker"], r["note"], r["volume"] is None) for r in rows] == [("AAA", None, False), ("BBB", "x", True)]
+    finally:
+        spark.sql("drop table if exists market.grown")
+
+
+def test_new_columns_under_a_path_are_read_merged(spark, tmp_path):
+    path = str(tmp_path / "bars")
+    write_table(bars(spark, AAA=[1.0]), path)
+    append_table(bars(spark, BBB=[2.0]).withColumn("note", F.lit("x")), path, merge_schema=True)
+    rows = read_table(spark, path, mergeSchema="true").orderBy("ticker").collect()
+    assert [(r["ticker"], r["note"]) for r in rows] == [("AAA", None), ("BBB", "x")]
+
+
+def test_a_failed_replacement_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    write_table(bars(spark, AAA=[1.0, 2.0]), path)
+    broken = spark.read.parquet(path).withColumn("adj_close", F.raise_error(F.lit("vendor")).cast("double"))
+    with pytest.raises(Exception, match="vendor"):
+        replace_table(broken, path)
+    assert column(spark.read.parquet(path), "adj_close") == [1.0, 2.0]
+    assert replace_table(spark.read.parquet(path).filter("adj_close > 1"), path) == 1
+    assert column(spark.read.parquet(path), "adj_close") == [2.0]
+
+
 def test_run_log(spark, tmp_path):
     path = str(tmp_path / "runs")
     at = datetime(2024, 5, 1)

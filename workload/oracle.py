@@ -257,6 +257,50 @@ def _complete(columns: list[str]) -> str:
     return " AND ".join(f"{c} IS NOT NULL" for c in columns)
 
 
+SCALED = f"""{BRAND_BARS},
+    {SILVER_EXACT},
+    scaled AS (
+      SELECT ticker, trade_date,
+             {", ".join(f"({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () AS z_{c}" for c in CLUSTER)}
+      FROM silver WHERE {_complete(CLUSTER)}),
+    centres AS (
+      SELECT * FROM (VALUES {", ".join(str((i, *c)) for i, c in enumerate(q.CENTRES))})
+             AS v(id, {", ".join(f"c_{c}" for c in CLUSTER)}))"""
+
+
+def _nearest(k: int) -> str:
+    """Cluster of every scaled row among the first k centres."""
+    distance = " + ".join(f"pow(z_{c} - c_{c}, 2)" for c in CLUSTER)
+    return f"""SELECT ticker, trade_date, arg_min(id, {distance}) AS cluster
+      FROM scaled CROSS JOIN (SELECT * FROM centres WHERE id < {k}) GROUP BY ALL"""
+
+
+def _silhouette(k: int) -> str:
+    """Mean silhouette by squared distances, from the count, sum and squares of each cluster."""
+    names = [f"z_{c}" for c in CLUSTER]
+    dot = " + ".join(f"r.{n} * t.s_{n}" for n in names)
+    return f"""SELECT CAST({k} AS INTEGER) AS k,
+             {_round("avg(CASE WHEN own_n = 1 THEN 0 ELSE (other - own) / greatest(other, own) END)")} AS silhouette
+      FROM (SELECT ticker, trade_date,
+                   max(n) FILTER (WHERE cluster = peer) AS own_n,
+                   max(apart / (n - 1)) FILTER (WHERE cluster = peer) AS own,
+                   min(apart / n) FILTER (WHERE cluster <> peer) AS other
+            FROM (SELECT r.ticker, r.trade_date, r.cluster, t.cluster AS peer, t.n,
+                         r.norm * t.n + t.squares - 2 * ({dot}) AS apart
+                  FROM placed{k} r CROSS JOIN (
+                    SELECT cluster, count(*) AS n, sum(norm) AS squares,
+                           {", ".join(f"sum({n}) AS s_{n}" for n in names)}
+                    FROM placed{k} GROUP BY cluster) t)
+            GROUP BY ticker, trade_date)"""
+
+
+def _placed(k: int) -> str:
+    norm = " + ".join(f"z_{c} * z_{c}" for c in CLUSTER)
+    return f"""placed{k} AS (
+      SELECT s.*, n.cluster, {norm} AS norm
+      FROM scaled s JOIN ({_nearest(k)}) n USING (ticker, trade_date))"""
+
+
 CALM, MOMENTUM, SELLOFF = q.RULE_LABELS
 REGIMES = f"""{BRAND_BARS},
     {SILVER_EXACT},
@@ -447,6 +491,18 @@ ORACLE: dict[str, str] = {
         for c in CLUSTER
     )
     + f" FROM silver WHERE {_complete(CLUSTER)}",
+    "kmeans_assign": _with(SCALED)
+    + f"SELECT ticker, trade_date, CAST(cluster AS INTEGER) AS cluster FROM ({_nearest(len(q.CENTRES))})",
+    "silhouette_sweep": _with(SCALED, *(_placed(k) for k in (2, 3, 4)))
+    + " UNION ALL ".join(_silhouette(k) for k in (2, 3, 4)),
+    "kmeans_fit": _with(BRAND_BARS, SILVER)
+    + f"""SELECT count(*) AS rows, CAST(0 AS BIGINT) AS away, CAST(0 AS BIGINT) AS misnamed,
+             CAST(4 AS BIGINT) AS clusters
+      FROM silver WHERE {_complete(CLUSTER)}""",
+    "forest_fit": _with(REGIMES)
+    + """SELECT count(*) AS rows, CAST(0 AS BIGINT) AS misnamed, TRUE AS accuracy_agrees,
+             TRUE AS importances_add_up
+      FROM split JOIN label_index USING (next_day_regime) WHERE split = 'test'""",
     "label_regimes": _with(BRAND_BARS)
     + """SELECT ticker, trade_date, CAST(quarter(trade_date) - 1 AS INTEGER) AS cluster,
              CASE quarter(trade_date) WHEN 1 THEN 'calm_low_vol' WHEN 2 THEN 'high_vol_momentum'

@@ -46,6 +46,13 @@ CALENDAR_GAP_END = "2000-12-31"
 CHECK_CHUNK_ROWS = 250
 TRAIN_END = "2000-12-31"
 CALM_LIMIT = 1.75
+# given centres in z-scored space, off any value a row could be equally far from
+CENTRES = (
+    (0.0313, -0.7171, 0.0517, 0.1319),
+    (0.8719, 0.6113, 0.9337, -0.2171),
+    (-0.9173, 0.5779, -0.8931, 0.0791),
+    (0.1117, 1.9373, -0.1733, 0.4513),
+)
 # rule-based regime names in the order of their class index
 RULE_LABELS = ["calm", "momentum", "selloff"]
 
@@ -326,6 +333,41 @@ def k_sweep(spark, sf_dir):
     return regimes.k_sweep(stage(silver(spark, sf_dir)))
 
 
+def kmeans_assign(spark, sf_dir):
+    """The assignment step of the clustering, for given centres."""
+    scaled, _ = regimes.standardise(stage(silver(spark, sf_dir)))
+    return regimes.nearest_centre(scaled, CENTRES).select("ticker", "trade_date", "cluster")
+
+
+def silhouette_sweep(spark, sf_dir):
+    """The score of the sweep over k, for the first k of given centres."""
+    scaled, _ = regimes.standardise(stage(silver(spark, sf_dir)))
+    scaled = stage(scaled.select(regimes.SCALED))
+    scores = [
+        (k, regimes.silhouette(regimes.nearest_centre(scaled, CENTRES[:k]))) for k in (2, 3, 4)
+    ]
+    return rounded(spark.createDataFrame(scores, "k int, silhouette double"), ["silhouette"])
+
+
+def kmeans_fit(spark, sf_dir):
+    """A fit checked over all its rows: away from the nearest centre, named against the centres."""
+    run = regimes.kmeans_regimes(stage(silver(spark, sf_dir)))
+    centres = [[float(x) for x in c] for c in run.model.clusterCenters()]
+    moments = zip(regimes.CLUSTER_FEATURES, run.scaler.mean.toArray(), run.scaler.std.toArray())
+    values = [(F.col(c) - F.lit(float(m))) / F.lit(float(s)) for c, m, s in moments]
+    distances = F.array(*(regimes.squared_distance(values, c) for c in centres))
+    away = F.get(distances, F.col("cluster")) > F.array_min(distances) + 1e-9
+    volatility = regimes.CLUSTER_FEATURES.index("volatility_20d")
+    calmest = min(range(len(centres)), key=lambda i: centres[i][volatility])
+    calm = F.col("regime_label") == regimes.REGIME_LABELS[0]
+    return run.regimes.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(away).alias("away"),
+        F.count_if(calm != (F.col("cluster") == calmest)).alias("misnamed"),
+        F.count_distinct("cluster").alias("clusters"),
+    )
+
+
 def label_regimes(spark, sf_dir):
     """Given cluster ids (the quarter of the day), the last of them without a name."""
     rows = brand_bars(spark, sf_dir).select(
@@ -369,6 +411,29 @@ def feature_importance(spark, sf_dir):
     return classify.rf_predictions(rows, train_end=TRAIN_END, exclude=exempt).importance
 
 
+def forest_fit(spark, sf_dir):
+    """A forest checked over its stored predictions: rows, names, metrics, importances."""
+    exempt = BRAND_CONFIG.volume_exempt_tickers
+    run = classify.rf_predictions(rule_regimes(spark, sf_dir), train_end=TRAIN_END, exclude=exempt)
+    hit = (F.col("prediction") == F.col("label")).cast("double")
+    named = F.col("predicted_regime").isNotNull()
+    right = (F.col("predicted_regime") == F.col("next_day_regime")) == (hit == 1.0)
+    seen = run.predictions.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(~(named & right)).alias("misnamed"),
+        F.avg(hit).alias("hits"),
+    )
+    total = run.importance.agg(F.sum("importance").alias("total"))
+    # three one-row frames
+    found = seen.join(run.metrics.select("accuracy")).join(total)
+    return found.select(
+        "rows",
+        "misnamed",
+        (F.abs(F.col("hits") - F.col("accuracy")) < 1e-9).alias("accuracy_agrees"),
+        (F.abs(F.col("total") - 1) < 1e-9).alias("importances_add_up"),
+    )
+
+
 def _rule_index(regime: Column) -> Column:
     index = F.array_position(F.array(*map(F.lit, RULE_LABELS)), regime) - 1
     return index.cast("double")
@@ -464,6 +529,9 @@ QUERIES: dict[str, Query] = {
     "zscore_features": zscore_features,
     "kmeans_regimes": kmeans_regimes,
     "k_sweep": k_sweep,
+    "kmeans_assign": kmeans_assign,
+    "silhouette_sweep": silhouette_sweep,
+    "kmeans_fit": kmeans_fit,
     "label_regimes": label_regimes,
     "next_day_target": next_day_target,
     "time_split": time_split,
@@ -471,6 +539,7 @@ QUERIES: dict[str, Query] = {
     "class_weights": class_weights,
     "rf_predictions": rf_predictions,
     "feature_importance": feature_importance,
+    "forest_fit": forest_fit,
     "confusion_table": confusion_table,
     "class_metrics": class_metrics,
     "classification_metrics": classification_metrics,
