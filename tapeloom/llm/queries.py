@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tapeloom.llm.common import table
+from tapeloom.llm.conversations import repair_conversations
 from tapeloom.llm.decontaminate import benchmark_leaks
+from tapeloom.llm.divergence import source_divergence
 from tapeloom.llm.embeddings import vector_groups
 from tapeloom.llm.language import languages
 from tapeloom.llm.language_model import score_texts
 from tapeloom.llm.oracle import ORACLE  # noqa: F401
+from tapeloom.llm.secrets import scan_secrets
 from tapeloom.llm.sentencepiece import encode_digest
 from tapeloom.llm.sharding import byte_shards
 from tapeloom.llm.simhash import simhash_groups
@@ -65,6 +68,18 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"), min_docs=30, top=50)
+
+
+def op12_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_token_counts": op2_token_counts,
@@ -76,4 +91,7 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_secret_scans": op12_secret_scans,
+    "op13_conversation_repair": op13_conversation_repair,
 }
