@@ -60,5 +60,5 @@ def test_registered():
 
     found = entry.queries()
     assert found["pipeline"] is pipeline.run and QUERIES.items() <= found.items()
-    assert [next(q for q in QUERIES if q.startswith(f"op{n}_")) for n in range(1, 11)] == list(QUERIES)
+    assert [next(q for q in QUERIES if q.startswith(f"op{n}_")) for n in range(1, 14)] == list(QUERIES)
     assert set(ORACLE) <= set(QUERIES)
