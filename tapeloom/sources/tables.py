@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapeloom.functions.filters import between
+
 DEFAULT_FORMAT = "parquet"
 
 
@@ -45,7 +47,10 @@ def _is_path(target: str) -> bool:
 def read_table(spark: SparkSession, target: str, format: str = DEFAULT_FORMAT, **options: str) -> DataFrame:
     """A table by name or a path; ``mergeSchema="true"`` shows columns that only later files hold."""
     reader = spark.read.options(**options)
-    return reader.format(format).load(target) if _is_path(target) else reader.table(target)
+    if not _is_path(target):
+        return reader.table(target)
+    _heal(spark, target.rstrip("/"))
+    return reader.format(format).load(target)
 
 
 def write_table(
@@ -97,22 +102,65 @@ def _merged(df: DataFrame, target: str) -> DataFrame:
 def replace_table(df: DataFrame, target: str, format: str = DEFAULT_FORMAT) -> int:
     """Overwrite ``target`` with a frame that may itself read ``target``.
 
-    The successor is written in full beside the target (``.next`` of a path,
-    ``__next`` of a table) and then takes its name. A crash before the switch leaves the target as it was,
-    one during the switch leaves the complete successor under that name.
+    The successor is written in full beside the target before anything changes. A named table is then
+    pointed at its new folder, one change of the catalog, if it keeps its columns. A path is renamed
+    aside (``.old``) before its successor (``.next``) takes its name: whatever step a crash comes at, one
+    complete copy is left, and ``read_table`` and the next ``replace_table`` finish or undo the switch.
+    ``sources.versions`` has tables whose readers see no switch at all.
     """
     spark = df.sparkSession
     if not _is_path(target):
-        rows = write_table(df, f"{target}__next", format=format)
-        spark.sql(f"drop table if exists {target}")
-        spark.sql(f"alter table {target}__next rename to {target}")
-        return rows
+        return _replace_named(df, target, format)
     target = target.rstrip("/")
+    _heal(spark, target)
     rows = write_table(df, f"{target}.next", format=format)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(path(target), True)
-    if not files.rename(path(f"{target}.next"), path(target)):
-        raise OSError(f"{target}.next holds the new rows but could not be renamed")
+    files, path = _files_of(spark, target)
+    if files.exists(path(target)):
+        files.delete(path(f"{target}.old"), True)
+        _rename(files, path, target, f"{target}.old")
+    _rename(files, path, f"{target}.next", target)
+    files.delete(path(f"{target}.old"), True)
     spark.catalog.refreshByPath(target)
     return rows
+
+
+def _files_of(spark: SparkSession, target: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return path(target).getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _rename(files, path, source: str, target: str) -> None:
+    if not files.rename(path(source), path(target)):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
+def _heal(spark: SparkSession, target: str) -> None:
+    """Finish a switch that was interrupted: the successor if it is complete, else the old table."""
+    files, path = _files_of(spark, target)
+    if files.exists(path(target)):
+        return
+    if files.exists(path(f"{target}.next/_SUCCESS")):
+        _rename(files, path, f"{target}.next", target)
+    elif files.exists(path(f"{target}.old")):
+        _rename(files, path, f"{target}.old", target)
+
+
+def _replace_named(df: DataFrame, target: str, format: str) -> int:
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(target):
+        return write_table(df, target, format=format)
+    about = {r["col_name"]: r["data_type"] for r in spark.sql(f"describe formatted {target}").collect()}
+    same = [(f.name, f.dataType) for f in spark.read.table(target).schema] == [(f.name, f.dataType) for f in df.schema]
+    if same and "Location" in about and about.get("Provider") == format and "# Partition Information" not in about:
+        old = about["Location"]
+        new = f"{old.rstrip('/').split('__at_')[0]}__at_{uuid.uuid4().hex}"
+        rows = write_table(df, new, format=format)
+        spark.sql(f"alter table {target} set location '{new}'")
+        spark.catalog.refreshTable(target)
+        files, path = _files_of(spark, old)
+        files.delete(path(old), True)
+        return rows
+    rows = write_table(df, f"{target}__next", format=format)
+    spark.sql(f"drop table if exists {target}")
+    spark.sql(f"alter table {target}__next rename to {target}")
+    return rows
