@@ -42,7 +42,7 @@ _DATE_UNITS = {"1d": "day", "1wk": "week", "1mo": "month"}
 _TIME_UNITS = {"1h": "hour", "1m": "minute"}
 
 
-def _bar_start(ticks: DataFrame, ts: str, interval: str) -> Column:
+def bar_start(ts: str, interval: str) -> Column:
     """Start of the bar holding ``ts``: a DATE from one day up, else of the type of ``ts``."""
     if interval in _TIME_UNITS:
         # a tumbling window keeps the type and counts a zone-less time as it is written
@@ -82,7 +82,7 @@ def price_bars(
     ticks = between(ticks, ts, start_date, end_date)
     place = F.col(tick_order[0]) if len(tick_order) == 1 else F.struct(*tick_order)
     last = F.max_by(price, place)
-    return ticks.groupBy(key, _bar_start(ticks, ts, interval).alias(order)).agg(
+    return ticks.groupBy(key, bar_start(ts, interval).alias(order)).agg(
         F.min_by(price, place).alias("open"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),

@@ -18,6 +18,7 @@ from tapeloom.functions.moments import (
     pooled_deviation,
     pooling_steps,
 )
+from tapeloom.operators.asof import asof_value
 from tapeloom.plans.series import Layout, Series, lay_out
 
 _REFERENCE = "_reference_return"
@@ -41,6 +42,12 @@ class FeatureConfig:
     reference_ticker: str = "^VIX"
     reference_name: str = "vix"
     correlation_window: int = 60
+    # "exact": the reference's return at the same time; "asof": its newest at or before
+    reference_match: str = "exact"
+
+    def __post_init__(self) -> None:
+        if self.reference_match not in ("exact", "asof"):
+            raise ValueError(f"unknown reference_match {self.reference_match!r}")
 
     @property
     def return_price(self) -> str:
@@ -130,7 +137,7 @@ def reference_correlation(
     """Rolling correlation of ``log_return`` with the reference ticker's return."""
     layout = lay_out(df, series, before=config.correlation_window - 1)
     reference = _reference_rows(layout, config, series)
-    frame = _with_reference(layout.frame, reference, layout, series)
+    frame = _with_reference(layout.frame, reference, layout, config, series)
     block = block_rows([config.correlation_window])
     return layout.close(_add(frame, _correlation(layout, config, block)).drop(_REFERENCE))
 
@@ -158,11 +165,22 @@ def silver_features(
     a filter would repeat the feature's whole expression below the projection.
     """
     layout = lay_out(bars, series, before=config.reach)
+    frame = with_reference_returns(layout, config, series)
+    rows = window_features(frame, layout, config, series)
+    return rows.select(*bars.columns, "is_illiquid", *config.derived_columns)
+
+
+def with_reference_returns(layout: Layout, config: FeatureConfig, series: Series) -> DataFrame:
+    """The rows of a layout with their previous prices, return, and the reference's return at their time."""
     frame = _with_previous(layout.frame, layout, config.return_price, config.rsi_price)
     frame = _with_return(frame, config)
     reference = _with_previous(_reference_rows(layout, config, series), layout, config.return_price)
     reference = _with_return(reference, config)
-    frame = _with_reference(frame, reference, layout, series)
+    return _with_reference(frame, reference, layout, config, series)
+
+
+def window_features(frame: DataFrame, layout: Layout, config: FeatureConfig, series: Series) -> DataFrame:
+    """All sliding features over ``with_reference_returns``; the layout is closed and NaN becomes NULL."""
     block = block_rows([*config.volatility_windows, config.correlation_window])
     frame = _add(
         frame.withColumn("is_illiquid", _illiquid(config, series.key)),
@@ -171,8 +189,7 @@ def silver_features(
         _strength(layout, config),
         _correlation(layout, config, block),
     )
-    cleaned = clean_nan(layout.close(frame), config=config)
-    return cleaned.select(*bars.columns, "is_illiquid", *config.derived_columns)
+    return clean_nan(layout.close(frame), config=config)
 
 
 @dataclass
@@ -274,9 +291,9 @@ def _reference_rows(layout: Layout, config: FeatureConfig, series: Series) -> Da
 
 
 def _with_reference(
-    df: DataFrame, source: DataFrame, layout: Layout, series: Series
+    df: DataFrame, source: DataFrame, layout: Layout, config: FeatureConfig, series: Series
 ) -> DataFrame:
-    """Add the reference's return at the same time; the number of rows never changes.
+    """Add the reference's return at the same time, or as of it; the number of rows never changes.
 
     Of several reference rows at one time the first in the order of the series
     counts. The row before is always at hand (in a chunk as halo), so this needs no
@@ -286,6 +303,8 @@ def _with_reference(
     reference = layout.own(source).filter(first).select(
         F.col(series.order), F.col("log_return").alias(_REFERENCE)
     )
+    if config.reference_match == "asof":
+        return asof_value(df, reference, series.order, _REFERENCE, _REFERENCE)
     if series.calendar_bound(df):
         # one row per day, by the filter: the DATE domain bounds the broadcast
         reference = F.broadcast(reference)

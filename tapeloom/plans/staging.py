@@ -33,10 +33,15 @@ def _session_folder(spark: SparkSession) -> str:
     return f"{staging_root(spark)}/tapeloom-{spark.sparkContext.applicationId}"
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path that ``drop_staged`` deletes."""
+    return f"{_session_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` once and return a frame that scans the written files."""
     spark = df.sparkSession
-    path = f"{_session_folder(spark)}/{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -36,6 +36,7 @@ EVENT_CONFIG = FeatureConfig(
     reference_name="click",
 )
 TICK_CONFIG = replace(EVENT_CONFIG, price_column="price")
+ASOF_CONFIG = replace(TICK_CONFIG, reference_match="asof")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,13 +53,16 @@ def line_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def brand_bars(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+def brand_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     brands = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("ticker")
     )
     # unhinted: Catalyst broadcasts by file size, beyond that AQE splits hot parts
-    ticks = line_ticks(spark, sf_dir).join(brands, "l_partkey")
-    return price_bars(ticks, ["place"], **options)
+    return line_ticks(spark, sf_dir).join(brands, "l_partkey")
+
+
+def brand_bars(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    return price_bars(brand_ticks(spark, sf_dir), ["place"], **options)
 
 
 def part_bars(spark: SparkSession, sf_dir: str) -> DataFrame:

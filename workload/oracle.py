@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tapeloom.operators.features import FeatureConfig
 from workload import queries as q
-from workload.adapters import BRAND_CONFIG, EVENT_CONFIG, TICK_CONFIG
+from workload.adapters import ASOF_CONFIG, BRAND_CONFIG, EVENT_CONFIG, TICK_CONFIG
 
 
 def _round(expr: str) -> str:
@@ -117,12 +117,13 @@ def _correlation(config: FeatureConfig, order: str) -> str:
 
 def _reference(config: FeatureConfig, day: str, order: str = "log_return") -> str:
     # one reference row per time: the first in the order of the series
+    asof = config.reference_match == "asof"
     return f"""joined AS (
-      SELECT r.*, f.reference_return FROM returns r LEFT JOIN (
+      SELECT r.*, f.reference_return FROM returns r {"ASOF LEFT" if asof else "LEFT"} JOIN (
         SELECT {day}, log_return AS reference_return FROM returns
         WHERE ticker = '{config.reference_ticker}'
         QUALIFY row_number() OVER (PARTITION BY {day} ORDER BY {order}) = 1) f
-      ON r.{day} = f.{day})"""
+      ON r.{day} {">=" if asof else "="} f.{day})"""
 
 
 def _silver(
@@ -206,6 +207,25 @@ SCD2 = f"""{PART_BARS},
       FROM dim d JOIN state s ON d.ticker = s.ticker
       WHERE d.is_current AND d.market_cap_category <> s.new_category)"""
 
+
+def _state(cut: str) -> str:
+    return f"(SELECT ticker, {_band('adj_close')} AS c FROM ({_latest('bars', f"trade_date <= DATE '{cut}'")}))"
+
+
+# a version for every cut that finds another band than the cut before it
+VERSIONS = f"""found AS (
+      SELECT s.ticker, s.c AS market_cap_category, b.first AS effective_from, NULL AS before
+      FROM {_state(q.VERSION_CUTS[0])} s JOIN (
+        SELECT ticker, min(trade_date) AS first FROM bars
+        WHERE trade_date <= DATE '{q.VERSION_CUTS[0]}' GROUP BY ticker) b ON b.ticker = s.ticker
+      UNION ALL {" UNION ALL ".join(
+          f"SELECT o.ticker, n.c, DATE '{new}', o.c FROM {_state(old)} o JOIN {_state(new)} n ON n.ticker = o.ticker "
+          f"WHERE o.ticker IN (SELECT ticker FROM {_state(q.VERSION_CUTS[0])})"
+          for old, new in zip(q.VERSION_CUTS, q.VERSION_CUTS[1:]))}),
+    versions AS (
+      SELECT *, lead(effective_from) OVER (PARTITION BY ticker ORDER BY effective_from) AS effective_to
+      FROM found WHERE before IS NULL OR before <> market_cap_category)"""
+
 CALENDAR_COLUMNS = """CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_sk, d AS full_date,
              strftime(d, '%A') AS day_of_week, CAST(day(d) AS INTEGER) AS day_of_month,
              CAST(strftime(d, '%W') AS INTEGER) AS week_of_year,
@@ -429,6 +449,29 @@ ORACLE: dict[str, str] = {
         ),
     )
     + "SELECT * FROM silver",
+    "tick_features_asof": _with(
+        EVENT_TICKS,
+        "trades AS (SELECT ticker, ts, event_id, price, size AS volume FROM ticks)",
+        _silver(
+            "trades",
+            ASOF_CONFIG,
+            "ts",
+            ["ticker", "ts", "event_id", "price", "volume"],
+            order="ts, event_id",
+        ),
+    )
+    + "SELECT * FROM silver",
+    "silver_incremental": _with(BRAND_BARS, SILVER) + "SELECT * FROM silver",
+    "late_bars": _with(BRAND_BARS) + "SELECT * FROM bars",
+    "fact_by_year": _with(BRAND_BARS)
+    + f"""SELECT ticker, trade_date, close, lag(close) OVER w AS previous_close,
+             CAST(row_number() OVER w AS INTEGER) AS day_number
+      FROM bars WHERE trade_date >= DATE '{q.FACT_START}'
+      WINDOW w AS (PARTITION BY ticker ORDER BY trade_date)""",
+    "fact_versions": _with(PART_BARS, VERSIONS)
+    + """SELECT b.ticker, b.trade_date, b.adj_close, v.market_cap_category, v.effective_from, v.effective_to
+      FROM bars b LEFT JOIN versions v ON v.ticker = b.ticker AND b.trade_date >= v.effective_from
+        AND (v.effective_to IS NULL OR b.trade_date < v.effective_to)""",
     "dim_date": _calendar("orders", "CAST(o_orderdate AS DATE)"),
     "price_band": _with(BRAND_BARS)
     + f"SELECT ticker, trade_date, {_band('adj_close')} AS market_cap_category FROM bars",

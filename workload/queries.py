@@ -2,21 +2,29 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapeloom.operators import bars as bar_ops
 from tapeloom.operators import classify, dims, facts, features, generic, regimes
+from tapeloom.functions.filters import between
+from tapeloom.operators.bar_states import BarStore
+from tapeloom.operators.incremental import SilverStore
+from tapeloom.operators.validity import valid_versions
 from tapeloom.plans.series import Series
-from tapeloom.plans.staging import stage
+from tapeloom.plans.staging import scratch_path, stage
+from tapeloom.sources.partitioned import read_days, write_years
 from workload.adapters import (
+    ASOF_CONFIG,
     BRAND_CONFIG,
     EVENT_CONFIG,
     TICK_CONFIG,
     brand_bars,
+    brand_ticks,
     event_ticks,
     hourly_bars,
     part_bars,
@@ -46,6 +54,13 @@ CALENDAR_GAP_END = "2000-12-31"
 CHECK_CHUNK_ROWS = 250
 TRAIN_END = "2000-12-31"
 CALM_LIMIT = 1.75
+# increments of Silver begin here; late ticks come in so many batches
+INCREMENTS = ("1996-06-03", "1998-12-31", "2000-03-15")
+TICK_BATCHES = 3
+FACT_START = "1997-03-01"
+FACT_BUCKETS = 8
+# the ticker dimension as it was made, and the days of two later runs over it
+VERSION_CUTS = ("1996-12-31", "1998-06-30", "2000-06-30")
 # given centres in z-scored space, off any value a row could be equally far from
 CENTRES = (
     (0.0313, -0.7171, 0.0517, 0.1319),
@@ -209,6 +224,60 @@ def tick_features(spark, sf_dir):
     return rounded(rows, TICK_CONFIG.derived_columns)
 
 
+def tick_features_asof(spark, sf_dir):
+    """Ticks against the newest reference return at or before each of them."""
+    ticks = event_ticks(spark, sf_dir).withColumnRenamed("size", "volume")
+    series = Series(order="ts", tie=("event_id",), chunk_rows=CHECK_CHUNK_ROWS)
+    return rounded(features.silver_features(stage(ticks), ASOF_CONFIG, series), ASOF_CONFIG.derived_columns)
+
+
+def silver_incremental(spark, sf_dir):
+    """Silver from four increments, each from the stored tail and new bars."""
+    bars = stage(brand_bars(spark, sf_dir))
+    store = SilverStore(spark, scratch_path(spark), BRAND_CONFIG)
+    for first, end in zip((None, *INCREMENTS), (*INCREMENTS, None)):
+        store.append(between(bars, "trade_date", first, end))
+    return rounded(store.read(), BRAND_CONFIG.derived_columns)
+
+
+def late_bars(spark, sf_dir):
+    """Bars from batches of ticks, each with ticks of every bar."""
+    ticks = brand_ticks(spark, sf_dir)
+    batch = F.pmod(F.hash("place"), F.lit(TICK_BATCHES))
+    store = BarStore(spark, scratch_path(spark), ["place"])
+    for n in range(TICK_BATCHES):
+        store.append(ticks.where(batch == n))
+    return store.read()
+
+
+def fact_by_year(spark, sf_dir):
+    """The stored fact: two years overwritten, some years read, a window by ticker without a shuffle."""
+    fact = stage(_star(spark, sf_dir)[0])
+    table_name = f"fact_{uuid.uuid4().hex}"
+    write_years(fact, table_name, buckets=FACT_BUCKETS, path=scratch_path(spark))
+    write_years(fact.where(F.year("trade_date").between(1998, 1999)), table_name)
+    rows = read_days(spark, table_name, FACT_START)
+    order = Window.partitionBy("ticker").orderBy("trade_date")
+    return rows.select(
+        "ticker",
+        "trade_date",
+        "close",
+        F.lag("close").over(order).alias("previous_close"),
+        F.row_number().over(order).alias("day_number"),
+    )
+
+
+def fact_versions(spark, sf_dir):
+    """Bars with the band their part was in on the day, from a dimension with several versions."""
+    bars = stage(part_bars(spark, sf_dir))
+    upto = lambda day: bars.where(F.col("trade_date") <= F.lit(day).cast("date"))
+    dim = dims.scd2_initial(upto(VERSION_CUTS[0]), "bigint", bands=BANDS)
+    for cut in VERSION_CUTS[1:]:
+        dim = dims.scd2_apply(stage(dim), dims.current_state(upto(cut), bands=BANDS), cut)
+    found = valid_versions(bars, stage(dim))
+    return found.select("ticker", "trade_date", "adj_close", "market_cap_category", "effective_from", "effective_to")
+
+
 def dim_date(spark, sf_dir):
     days = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("trade_date"))
     return dims.calendar_dim_for(days)
@@ -511,6 +580,11 @@ QUERIES: dict[str, Query] = {
     "silver_features_parts": silver_features_parts,
     "hourly_features": hourly_features,
     "tick_features": tick_features,
+    "tick_features_asof": tick_features_asof,
+    "silver_incremental": silver_incremental,
+    "late_bars": late_bars,
+    "fact_by_year": fact_by_year,
+    "fact_versions": fact_versions,
     "dim_date": dim_date,
     "price_band": price_bands,
     "latest_price": latest_price,
