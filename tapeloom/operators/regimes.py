@@ -78,8 +78,15 @@ def labels_from_centres(
     Lowest volatility is calm; of the others the highest return is momentum
     and the lowest is selloff. Works on z-scored centres, order is preserved.
     """
+    return names_of_centres(model.clusterCenters(), features)
+
+
+def names_of_centres(
+    centres: Sequence[Sequence[float]], features: Sequence[str] = CLUSTER_FEATURES
+) -> dict[int, str]:
+    """``labels_from_centres`` for centres that are at hand."""
     ret, vol = features.index("log_return"), features.index("volatility_20d")
-    centres = list(enumerate(model.clusterCenters()))
+    centres = list(enumerate(centres))
     calm = min(centres, key=lambda c: c[1][vol])[0]
     rest = sorted((c for c in centres if c[0] != calm), key=lambda c: c[1][ret])
     labels = {calm: REGIME_LABELS[0]}

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,6 +74,32 @@ def write_table(
     return counted.get["rows"]
 
 
+def write_profiled(
+    df: DataFrame, target: str, columns: Sequence[str], flags: Mapping[str, Column] | None = None, **writing
+) -> DataFrame:
+    """Write like ``write_table`` and return what ``quality_profile`` finds, observed during the write.
+
+    One row per column (``column_name, null_count, nan_count, row_count``) and one per flag, whose
+    ``null_count`` is the rows it holds for. The written table is not read again.
+    """
+    kinds = dict(df.dtypes)
+    flags = dict(flags or {})
+    counts = [F.count(F.lit(1)).alias("rows")]
+    for n, name in enumerate(columns):
+        value = F.col(f"`{name}`")
+        floating = kinds[name] in ("double", "float")
+        counts.append(F.count_if(value.isNull()).alias(f"nulls_{n}"))
+        counts.append(F.count_if(F.isnan(value) if floating else F.lit(False)).alias(f"nans_{n}"))
+    counts += [F.count_if(holds).alias(f"flag_{n}") for n, holds in enumerate(flags.values())]
+    seen = Observation()
+    write_table(df.observe(seen, *counts), target, **writing)
+    found = seen.get
+    rows = [(name, found[f"nulls_{n}"], found[f"nans_{n}"], found["rows"]) for n, name in enumerate(columns)]
+    rows += [(name, found[f"flag_{n}"], 0, found["rows"]) for n, name in enumerate(flags)]
+    # one row per column of the table
+    return df.sparkSession.createDataFrame(rows, "column_name string, null_count long, nan_count long, row_count long")
+
+
 def append_table(
     df: DataFrame, target: str, format: str = DEFAULT_FORMAT, merge_schema: bool = False
 ) -> int:

@@ -321,6 +321,34 @@ def _placed(k: int) -> str:
       FROM scaled s JOIN ({_nearest(k)}) n USING (ticker, trade_date))"""
 
 
+
+def _lloyd(k: int) -> list[str]:
+    """The centres of k after each step, from the first k given ones; sums are of whole units."""
+    distance = " + ".join(f"pow(z_{c} - c_{c}, 2)" for c in CLUSTER)
+    members = lambda step: f"""members{k}_{step} AS (
+      SELECT any_value(s) AS s, arg_min(id, {distance}) AS id
+      FROM (SELECT s, s.*, o.* FROM scaled s CROSS JOIN steps{k}_{step} o) GROUP BY ticker, trade_date)"""
+    mean = lambda c: f"sum(CAST(round(s.z_{c} * 1048576) AS BIGINT)) / 1048576.0 / count(*)"
+    parts = [f"steps{k}_0 AS (SELECT * FROM centres WHERE id < {k})"]
+    for step in range(q.LLOYD_STEPS):
+        parts += [
+            members(step),
+            f"""steps{k}_{step + 1} AS (
+      SELECT o.id, {", ".join(f"coalesce(m.{c}, o.c_{c}) AS c_{c}" for c in CLUSTER)}
+      FROM steps{k}_{step} o LEFT JOIN (
+        SELECT id, {", ".join(f"{mean(c)} AS {c}" for c in CLUSTER)} FROM members{k}_{step} GROUP BY id) m
+      ON m.id = o.id)""",
+        ]
+    return [*parts, members(q.LLOYD_STEPS)]
+
+
+def _lloyd_rows(k: int) -> str:
+    centres = ", ".join(f"{_round(f'c_{c}')} AS c_{c}" for c in CLUSTER)
+    return f"""SELECT CAST({k} AS INTEGER) AS k, CAST(o.id AS INTEGER) AS cluster,
+             (SELECT count(*) FROM members{k}_{q.LLOYD_STEPS} m WHERE m.id = o.id) AS members, {centres}
+      FROM steps{k}_{q.LLOYD_STEPS} o"""
+
+
 CALM, MOMENTUM, SELLOFF = q.RULE_LABELS
 REGIMES = f"""{BRAND_BARS},
     {SILVER_EXACT},
@@ -522,6 +550,21 @@ ORACLE: dict[str, str] = {
         _profile_row(c)
         for c in ["ticker", "trade_date", *PROFILED[:-1], "volume", "log_return"]
     ),
+    "profiled_write": _with(BRAND_BARS, BROKEN_BARS, _silver("broken", BRAND_CONFIG, "trade_date", BAR_COLUMNS, digits=False))
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS null_count,
+             count(*) FILTER ({f"isnan({c})" if c not in ("ticker", "trade_date", "volume") else "FALSE"}) AS nan_count,
+             count(*) AS row_count FROM silver"""
+        for c in [*BAR_COLUMNS, *BRAND_CONFIG.derived_columns]
+    )
+    + """ UNION ALL SELECT 'is_illiquid', count(*) FILTER (is_illiquid), 0, count(*) FROM silver""",
+    "quarantine": _with(BRAND_BARS)
+    + """SELECT reason, count(*) AS rows, CAST(sum(CASE WHEN reason <> 'malformed' THEN size END) AS BIGINT) AS volume
+      FROM (SELECT CASE WHEN day(trade_date) = 7 THEN 'malformed' WHEN day(trade_date) = 19 THEN 'no_key'
+                        WHEN day(trade_date) = 11 AND low < high THEN 'crossed_range'
+                        WHEN day(trade_date) = 23 AND volume > 0 THEN 'negative_volume' ELSE 'kept' END AS reason,
+                   CASE WHEN day(trade_date) = 23 THEN -volume ELSE volume END AS size
+            FROM bars) GROUP BY reason""",
     "flag_profile": _with(BRAND_BARS)
     + """SELECT count(*) FILTER (WHERE volume <= 20 AND ticker <> 'Brand#1') AS low_volume_rows,
              count(*) FILTER (WHERE volume <= 20 AND ticker <> 'Brand#1') AS low_volume_flagged,
@@ -546,6 +589,8 @@ ORACLE: dict[str, str] = {
     + """SELECT count(*) AS rows, CAST(0 AS BIGINT) AS misnamed, TRUE AS accuracy_agrees,
              TRUE AS importances_add_up
       FROM split JOIN label_index USING (next_day_regime) WHERE split = 'test'""",
+    "lloyd_sweep": _with(SCALED, *_lloyd(2), *_lloyd(3), *_lloyd(4))
+    + " UNION ALL ".join(_lloyd_rows(k) for k in (2, 3, 4)),
     "label_regimes": _with(BRAND_BARS)
     + """SELECT ticker, trade_date, CAST(quarter(trade_date) - 1 AS INTEGER) AS cluster,
              CASE quarter(trade_date) WHEN 1 THEN 'calm_low_vol' WHEN 2 THEN 'high_vol_momentum'

@@ -14,10 +14,13 @@ from tapeloom.operators import classify, dims, facts, features, generic, regimes
 from tapeloom.functions.filters import between
 from tapeloom.operators.bar_states import BarStore
 from tapeloom.operators.incremental import SilverStore
+from tapeloom.operators.lloyd import sweep
 from tapeloom.operators.validity import valid_versions
 from tapeloom.plans.series import Series
 from tapeloom.plans.staging import scratch_path, stage
+from tapeloom.sources.landing import bar_rules, read_checked
 from tapeloom.sources.partitioned import read_days, write_years
+from tapeloom.sources.tables import write_profiled
 from workload.adapters import (
     ASOF_CONFIG,
     BRAND_CONFIG,
@@ -57,9 +60,13 @@ CALM_LIMIT = 1.75
 # increments of Silver begin here; late ticks come in so many batches
 INCREMENTS = ("1996-06-03", "1998-12-31", "2000-03-15")
 TICK_BATCHES = 3
+LANDED_SCHEMA = (
+    "ticker string, trade_date date, open double, high double, low double, close double, adj_close double, volume long"
+)
 FACT_START = "1997-03-01"
 FACT_BUCKETS = 8
 # the ticker dimension as it was made, and the days of two later runs over it
+LLOYD_STEPS = 3
 VERSION_CUTS = ("1996-12-31", "1998-06-30", "2000-06-30")
 # given centres in z-scored space, off any value a row could be equally far from
 CENTRES = (
@@ -380,6 +387,33 @@ def quality_profile(spark, sf_dir):
     return facts.quality_profile(rows, names)
 
 
+def profiled_write(spark, sf_dir):
+    """Silver written once, its NULL, NaN and flag counts taken during the write."""
+    rows = features.silver_features(stage(broken_bars(brand_bars(spark, sf_dir))), BRAND_CONFIG)
+    names = ["ticker", "trade_date", *facts.PRICE_MEASURES, *BRAND_CONFIG.derived_columns]
+    return write_profiled(rows, scratch_path(spark), names, {"is_illiquid": F.col("is_illiquid")})
+
+
+def quarantine(spark, sf_dir):
+    """Bars landed as text, some of them broken: kept and rejected rows by reason."""
+    day = F.dayofmonth("trade_date")
+    bars = brand_bars(spark, sf_dir).select(
+        F.when(day != 19, F.col("ticker")).otherwise("").alias("ticker"),
+        "trade_date",
+        "open",
+        F.when(day != 11, F.col("high")).otherwise(F.col("low")).alias("high"),
+        F.when(day != 11, F.col("low")).otherwise(F.col("high")).alias("low"),
+        "close",
+        "adj_close",
+        F.when(day == 7, "n/a").when(day == 23, F.concat(F.lit("-"), "volume")).otherwise(F.col("volume").cast("string")).alias("volume"),
+    )
+    landed = scratch_path(spark)
+    bars.select(F.concat_ws(",", *bars.columns).alias("value")).write.text(landed)
+    found = read_checked(spark, landed, LANDED_SCHEMA, rules=bar_rules())
+    kept = found.rows.agg(F.lit("kept").alias("reason"), F.count(F.lit(1)).alias("rows"), F.sum("volume").alias("volume"))
+    return kept.union(found.rejected.groupBy("reason").agg(F.count(F.lit(1)), F.sum("volume")))
+
+
 def flag_profile(spark, sf_dir):
     flagged = features.illiquid_flag(brand_bars(spark, sf_dir), BRAND_CONFIG)
     return facts.flag_profile(flagged, BRAND_CONFIG)
@@ -437,6 +471,17 @@ def kmeans_fit(spark, sf_dir):
     )
 
 
+def lloyd_sweep(spark, sf_dir):
+    """Three steps of the clustering from given starts, for k = 2, 3 and 4 in shared scans."""
+    scaled, _ = regimes.standardise(stage(silver(spark, sf_dir)))
+    fits = sweep(scaled, {k: CENTRES[:k] for k in (2, 3, 4)}, LLOYD_STEPS, tolerance=0.0)
+    names = [f"c_{name}" for name in regimes.CLUSTER_FEATURES]
+    rows = [(f.k, i, n, *c) for f in fits for i, (n, c) in enumerate(zip(f.members, f.centres))]
+    kinds = ", ".join(f"{name} double" for name in names)
+    # one row per centre
+    return rounded(spark.createDataFrame(rows, f"k int, cluster int, members long, {kinds}"), names)
+
+
 def label_regimes(spark, sf_dir):
     """Given cluster ids (the quarter of the day), the last of them without a name."""
     rows = brand_bars(spark, sf_dir).select(
@@ -599,6 +644,8 @@ QUERIES: dict[str, Query] = {
     "fact_calendar_gap": fact_calendar_gap,
     "silver_features_nan": silver_features_nan,
     "quality_profile": quality_profile,
+    "profiled_write": profiled_write,
+    "quarantine": quarantine,
     "flag_profile": flag_profile,
     "zscore_features": zscore_features,
     "kmeans_regimes": kmeans_regimes,
@@ -606,6 +653,7 @@ QUERIES: dict[str, Query] = {
     "kmeans_assign": kmeans_assign,
     "silhouette_sweep": silhouette_sweep,
     "kmeans_fit": kmeans_fit,
+    "lloyd_sweep": lloyd_sweep,
     "label_regimes": label_regimes,
     "next_day_target": next_day_target,
     "time_split": time_split,
