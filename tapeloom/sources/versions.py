@@ -16,7 +16,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,10 +83,11 @@ class VersionedTable:
         replace: Mapping[str, DataFrame] | None = None,
         append: Mapping[str, DataFrame] | None = None,
         based_on: int | None = None,
+        drop: Sequence[str] = (),
     ) -> Version:
         """Write the given frames and make them the next version, all or nothing.
 
-        The frames may read this table. ``based_on`` names the version they were derived from (default: the
+        The frames may read this table. Frames in ``drop`` are left out of the next version. ``based_on`` names the version they were derived from (default: the
         newest now); if another commit has come between, nothing changes and ``VersionConflict`` is raised.
         """
         replace, append = dict(replace or {}), dict(append or {})
@@ -102,6 +103,8 @@ class VersionedTable:
         for name, df in {**replace, **append}.items():
             kept = folders.get(name, []) if name in append else []
             folders[name] = [*kept, self._write(df)]
+        for name in drop:
+            del folders[name], schemas[name]
         return self._publish(Version(base.number + 1, folders, schemas))
 
     def vacuum(self, keep: int = 1, older_than_seconds: float = 86_400) -> int:
