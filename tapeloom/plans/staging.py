@@ -38,11 +38,11 @@ def scratch_path(spark: SparkSession) -> str:
     return f"{_session_folder(spark)}/{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` once and return a frame that scans the written files."""
     spark = df.sparkSession
     path = scratch_path(spark)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
