@@ -2,19 +2,61 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable, Sequence
+from functools import wraps
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-_ROOT = str(Path(__file__).resolve().parents[2])
+from tapeloom.plans.staging import staging_root
+
+_PACKAGE = Path(__file__).resolve().parents[1]
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    It is written to the shared folder, where it stays: executors that join later fetch it too.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(_PACKAGE.rglob("*.py")):
+            archive.write(file, str(file.relative_to(_PACKAGE.parent)))
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark)}/tapeloom-{context.applicationId}.zip")
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        out.write(content.getvalue())
+    finally:
+        out.close()
+    context.addPyFile(path.toString())
+    _shipped.add(context.applicationId)
+
+
+def shipped(operator: Callable) -> Callable:
+    """For operators on a DataFrame (the first argument) that run Python on the executors."""
+
+    @wraps(operator)
+    def run(rows: DataFrame, *args, **options):
+        ship(rows.sparkSession)
+        return operator(rows, *args, **options)
+
+    return run
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with its columns called 0, 1, 2 ...: names of helper columns beside them cannot clash."""
+    return df.toDF(*[str(n) for n in range(len(df.columns))])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # Python workers started from another folder find this package here
-    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -49,6 +91,5 @@ def with_added(df: DataFrame, run: Callable, added: Sequence[StructField]) -> Da
     """
     names = [field.name for field in added]
     rest = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in names])
-    numbered = rest.toDF(*[str(n) for n in range(len(rest.columns))])
-    fields = [*numbered.schema.fields, *added]
-    return numbered.mapInArrow(run, StructType(fields)).toDF(*rest.columns, *names)
+    rows = numbered(rest)
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, *added])).toDF(*rest.columns, *names)

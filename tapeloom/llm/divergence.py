@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeloom.llm.blocks import whole_groups
+from tapeloom.llm.common import shipped
 from tapeloom.llm.text import chunks, spans
 from tapeloom.plans.ordering import with_position
 from tapeloom.plans.staging import stage
@@ -232,6 +233,7 @@ def _in_tiles(rows: DataFrame, side: int) -> DataFrame:
     )
 
 
+@shipped
 def source_divergence(
     docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, k: int = 4, levels: int = 4
 ) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom.llm.blocks import BLOCK, Forest, block_groups, group_pairs, whole_groups
+from tapeloom.llm.common import shipped
 from tapeloom.llm.components import components
 from tapeloom.llm.text import mix64
 from tapeloom.plans.staging import stage
@@ -116,6 +117,7 @@ def _linked(threshold: float):
     return run
 
 
+@shipped
 def vector_groups(
     vectors: DataFrame,
     threshold: float = 0.95,

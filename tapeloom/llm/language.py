@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeloom.llm.common import bounded_sample, held_out
+from tapeloom.llm.common import bounded_sample, held_out, shipped
 from tapeloom.llm.text import chunks, mix64
 from tapeloom.plans.staging import stage
 
@@ -232,6 +232,7 @@ def fit_language(docs: DataFrame, rows: int = LABELLED_ROWS, features: int = FEA
     return model
 
 
+@shipped
 def languages(docs: DataFrame, **options) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score)`` per row of ``docs``, from whole texts alone.
 

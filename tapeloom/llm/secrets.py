@@ -23,6 +23,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from tapeloom.llm.common import shipped
+
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "token", "key", "ssh")
 
@@ -302,6 +304,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *added], names)
 
 
+@shipped
 def scan_secrets(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_assign, n_access, n_hex, base_sha256, spans)`` per row of ``docs``.
 

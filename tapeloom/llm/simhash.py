@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom.llm.blocks import BLOCK, Forest, block_groups, group_pairs, whole_groups
+from tapeloom.llm.common import numbered, shipped
 from tapeloom.llm.components import components
 from tapeloom.llm.text import Chunk, chunks, ragged, words
 from tapeloom.plans.staging import stage
@@ -66,6 +67,7 @@ def fingerprints_of(chunk: Chunk, size: int) -> np.ndarray:
     return out
 
 
+@shipped
 def fingerprints(docs: DataFrame, size: int) -> DataFrame:
     """``(doc_id, text_key, fp)`` per row of ``docs``: whole texts, null like empty.
 
@@ -143,6 +145,7 @@ def _grouped(docs: DataFrame, size: int, max_bits: int, block: int) -> DataFrame
     return prints.join(rooted.join(least, "root").select("fp", "root", "component_id"), "fp")
 
 
+@shipped
 def simhash_groups(docs: DataFrame, size: int = 3, max_bits: int = 3, block: int = BLOCK) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` per row of ``docs``.
 
@@ -157,11 +160,13 @@ def simhash_groups(docs: DataFrame, size: int = 3, max_bits: int = 3, block: int
     )
 
 
+@shipped
 def keep_one(docs: DataFrame, size: int = 3, max_bits: int = 3, block: int = BLOCK) -> DataFrame:
     """``docs`` with one row of each group: that of the smallest doc_id.
 
     Of rows that share this id, the one with the least text key stays, once. A
-    group of null ids keeps the row with the least text key.
+    group of null ids keeps the row with the least text key. A null text counts as empty; rows that
+    repeat are one row; other columns, whatever their names, are kept as they are; an empty table stays empty.
     """
     stays = (
         _grouped(docs, size, max_bits, block)
@@ -170,12 +175,10 @@ def keep_one(docs: DataFrame, size: int = 3, max_bits: int = 3, block: int = BLO
         .agg(F.min("text_key").alias("_key"), F.min("doc_id").alias("_id"))
         .select(F.coalesce("_id", F.lit(0)).alias("_id"), F.col("_id").isNull().alias("_null"), "_key")
     )
-    keyed = docs.withColumns(
-        {
-            "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)),
-            "_null": F.col("doc_id").isNull(),
-            "_key": F.xxhash64("text"),
-        }
+    rows = numbered(docs)
+    doc_id, text = (F.col(str(docs.columns.index(c))) for c in ("doc_id", "text"))
+    keyed = rows.withColumns(
+        {"_id": F.coalesce(doc_id.cast("long"), F.lit(0)), "_null": doc_id.isNull(), "_key": F.xxhash64(text)}
     )
     names = ["_id", "_null", "_key"]
-    return keyed.join(stays, names).dropDuplicates(names).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return keyed.join(stays, names).dropDuplicates(names).select(*rows.columns).toDF(*docs.columns)

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tapeloom.llm.common import shipped
 from tapeloom.llm.text import chunks, words
 
 # longer words are walked alone: in lockstep they would keep the step count of a batch high
@@ -136,6 +137,7 @@ def _automaton(pieces: tuple[bytes, ...]) -> LongestMatch:
     return LongestMatch(list(pieces))
 
 
+@shipped
 def token_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     """``(doc_id, n_bytes, n_words, n_tokens)`` per row of ``docs``, whole texts, null like empty.
 
