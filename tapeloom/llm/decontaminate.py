@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tapeloom.llm.common import numbered, shipped
 from tapeloom.llm.text import Chunk, chunks, hash_words, mix64, ragged, spans
 from tapeloom.plans.staging import stage
 
@@ -96,8 +97,27 @@ class ItemIndex:
         return len(self.ids)
 
 
-def build_index(items: list[tuple[int, str]], similarity: float = SIMILARITY, shingle: int = SHINGLE) -> ItemIndex:
-    """Index of ``(item_id, text)``; items without any word are left out, they match nothing."""
+@dataclass
+class Statistics:
+    """Of all items: how many have words, their mean and greatest length, and in how many each term is.
+
+    ``terms`` may be those of some items only.
+    """
+
+    items: int
+    average: float
+    longest: int
+    terms: np.ndarray
+    frequencies: np.ndarray
+
+
+def build_index(
+    items: list[tuple[int, str]], statistics: Statistics, similarity: float = SIMILARITY, shingle: int = SHINGLE
+) -> ItemIndex:
+    """Index of ``(item_id, text)``; items without any word are left out, they match nothing.
+
+    Scores follow the ``statistics`` of all items, whatever part of them is indexed here.
+    """
     ids, words_of, questions = [], [], []
     for item_id, text in sorted(items, key=lambda x: (x[0] is None, x[0] or 0, x[1] or "")):
         question, answer = split_item(text or "")
@@ -107,15 +127,10 @@ def build_index(items: list[tuple[int, str]], similarity: float = SIMILARITY, sh
             words_of.append(np.concatenate([q, a]))
             questions.append(len(q))
     terms = np.unique(np.concatenate(words_of)) if words_of else np.zeros(0, np.uint64)
-    df = np.zeros(len(terms))
-    counted = []
-    for w in words_of:
-        term, tf = np.unique(np.searchsorted(terms, w), return_counts=True)
-        df[term] += 1
-        counted.append((term, tf))
-    n = len(ids)
-    idf = np.log1p((n - df + 0.5) / (df + 0.5))
-    average = np.mean([len(w) for w in words_of]) if n else 1.0
+    df = statistics.frequencies[np.searchsorted(statistics.terms, terms)]
+    counted = [np.unique(np.searchsorted(terms, w), return_counts=True) for w in words_of]
+    idf = np.log1p((statistics.items - df + 0.5) / (df + 0.5))
+    average = statistics.average
     rows, sizes, prints, question_prints, thresholds = [], [], [], [], []
     for k, (w, q, (term, tf)) in enumerate(zip(words_of, questions, counted)):
         size = min(shingle, len(w))
@@ -149,10 +164,9 @@ def build_index(items: list[tuple[int, str]], similarity: float = SIMILARITY, sh
     block_max = np.maximum.reduceat(weight, new) if len(new) else weight
     block_first = np.searchsorted(term[new], np.arange(len(terms) + 1))
     term_max = np.maximum.reduceat(weight, first[:-1]) if len(terms) else weight
-    longest = max((len(w) for w in words_of), default=0)
     return ItemIndex(
         ids, terms, first, item, weight, block_first, block[new], block_max, term_max, np.array(thresholds),
-        prints, question_prints, sizes, max(LEAST_PASSAGE, 2 * longest),
+        prints, question_prints, sizes, max(LEAST_PASSAGE, 2 * statistics.longest),
     )
 
 
@@ -215,7 +229,7 @@ def _leaks(index, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = index.value
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, keys = batch.column("doc_id"), batch.column("text_key")
             for chunk in chunks(pc.utf8_lower(batch.column("text"))):
                 tokens, owner = _tokens(chunk)
                 start, length, text = _passages(tokens, owner, len(chunk.lengths), found.passage)
@@ -228,18 +242,73 @@ def _leaks(index, similarity: float):
                         cut = found.question_shingles[i]
                         share = lambda x: float(x.mean()) if len(x) else None
                         rows.append(
-                            (ids[chunk.first + int(text[p])].as_py(), found.ids[i], float(score),
-                             share(seen), share(seen[:cut]), share(seen[cut:]))
+                            (ids[chunk.first + int(text[p])].as_py(), keys[chunk.first + int(text[p])].as_py(),
+                             found.ids[i], float(score), share(seen), share(seen[:cut]), share(seen[cut:]))
                         )
                 if rows:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] * 2 + [pa.float64()] * 4)],
-                        ["doc_id", "item_id", "score", "overlap", "question_overlap", "answer_overlap"],
+                        [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] * 3 + [pa.float64()] * 4)],
+                        ["doc_id", "text_key", "item_id", "score", "overlap", "question_overlap", "answer_overlap"],
                     )
 
     return run
 
 
+def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of each item and its distinct terms, in the part of the items it belongs to."""
+    for batch in batches:
+        rows = []
+        for part, text in zip(batch.column("part").to_pylist(), batch.column("text").to_pylist()):
+            question, answer = split_item(text)
+            found = np.concatenate([_one(question), _one(answer)])
+            if len(found):
+                rows.append((part, len(found), np.unique(found).view(np.int64)))
+        columns = [[r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows]]
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64())]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["part", "words", "terms"])
+
+
+def _indexes(items: DataFrame, similarity: float, shingle: int, index_bytes: int) -> Iterator[ItemIndex]:
+    """Indexes of about ``index_bytes`` of item texts each; scores follow the statistics of all items."""
+    texts = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null").distinct()
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = -(-size // index_bytes)
+    dealt = stage(texts.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(parts, 1)))))
+    terms = stage(dealt.select("part", "text").mapInArrow(_item_terms, "part long, words long, terms array<long>"))
+    count, total, longest = terms.agg(F.count(F.lit(1)), F.sum("words"), F.max("words")).first()
+    entries = stage(terms.select("part", F.explode("terms").alias("term")))
+    frequencies = stage(entries.groupBy("term").agg(F.count(F.lit(1)).alias("items")))
+    for part in range(parts if count else 0):
+        # both bounded: about index_bytes of text, and its terms
+        own = dealt.where(F.col("part") == part).select("item_id", "text").collect()
+        met = frequencies.join(entries.where(F.col("part") == part), "term", "left_semi").toArrow()
+        term, df = met.column("term").to_numpy().view(np.uint64), met.column("items").to_numpy().astype(np.float64)
+        order = np.argsort(term)
+        statistics = Statistics(count, total / count, longest, term[order], df[order])
+        yield build_index([tuple(r) for r in own], statistics, similarity, shingle)
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """Rows by id and a hash of the text, which tells rows apart that share an id."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+
+
+_LEAK_TYPE = (
+    "doc_id long, text_key long, item_id long, score double, overlap double, question_overlap double, answer_overlap double"
+)
+
+
+def _found(docs: DataFrame, items: DataFrame, similarity: float, shingle: int, index_bytes: int) -> DataFrame:
+    spark = docs.sparkSession
+    rows = _named(docs).where("text is not null")
+    found = spark.createDataFrame([], _LEAK_TYPE)
+    for index in _indexes(items, similarity, shingle, index_bytes):
+        shared = spark.sparkContext.broadcast(index)
+        found = found.union(rows.mapInArrow(_leaks(shared, similarity), _LEAK_TYPE))
+    return found
+
+
+@shipped
 def benchmark_leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -251,29 +320,16 @@ def benchmark_leaks(
 
     A document leaks an item if one of its passages holds ``similarity`` or more of
     the item's ``shingle``-word shingles (an item with fewer words is one shingle).
-    Passages overlap by half and are twice as long as the longest item of the
-    index, 256 words at least. ``overlap`` is over question and answer together; the
+    Passages overlap by half and are twice as long as the longest item, 256 words
+    at least. ``overlap`` is over question and answer together; the
     parts are given apart (a shingle that reaches into the answer counts there; a
     part without shingles is null). The best passage of each document and item is
     reported. Null and empty texts, on either side, leak nothing; repeated rows
     and repeated items are reported once per id pair. An item table beyond
-    ``index_bytes`` is dealt to several indexes, searched in turn.
+    ``index_bytes`` is dealt to several indexes, searched in turn; scores and passages follow all
+    items, so the number of indexes changes nothing.
     """
-    spark = docs.sparkSession
-    texts = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = -(-size // index_bytes)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
-    schema = (
-        "doc_id long, item_id long, score double, overlap double, question_overlap double, answer_overlap double"
-    )
-    found = spark.createDataFrame([], schema)
-    for part in range(parts):
-        own = texts.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).distinct()
-        # bounded: about index_bytes of text
-        index = build_index([tuple(r) for r in own.collect()], similarity, shingle)
-        shared = spark.sparkContext.broadcast(index)
-        found = found.union(rows.mapInArrow(_leaks(shared, similarity), schema))
+    found = _found(docs, items, similarity, shingle, index_bytes)
     best = F.struct("overlap", "score", "question_overlap", "answer_overlap")
     return found.groupBy("doc_id", "item_id").agg(F.max(best).alias("best")).select(
         "doc_id",
@@ -282,8 +338,23 @@ def benchmark_leaks(
     )
 
 
-def without_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that leak an item; null ids cannot be named and stay."""
+@shipped
+def without_leaks(
+    docs: DataFrame,
+    items: DataFrame,
+    similarity: float = SIMILARITY,
+    shingle: int = SHINGLE,
+    index_bytes: int = INDEX_BYTES,
+) -> DataFrame:
+    """``docs`` without the rows that leak an item.
+
+    A row is judged by its own text: of rows that share an id only those that leak go, and a null id is no obstacle. Null
+    and empty texts stay. All columns, whatever their names, are kept as they are; an empty table stays empty.
+    """
     # written first: Catalyst then knows its size and broadcasts it only if it is small
-    leaked = stage(benchmark_leaks(docs, items, **options).select("doc_id").distinct())
-    return docs.join(leaked, "doc_id", "left_anti")
+    found = _found(docs, items, similarity, shingle, index_bytes)
+    leaked = stage(found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct())
+    rows = numbered(docs)
+    doc_id, text = (F.col(str(docs.columns.index(c))) for c in ("doc_id", "text"))
+    same = doc_id.cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_key"))
+    return rows.join(leaked, same, "left_anti").toDF(*docs.columns)
