@@ -5,8 +5,8 @@ space marker, piece scores (unigram scores, or merge ranks derived from the scor
 of a BPE model) and byte fallback. No piece has a marker after another character
 (asserted when the model is loaded), so a text is the sequence of its units - a run
 of spaces with what follows it - and pieces never cross units. A task encodes each distinct unit
-once, in multithreaded batches, encodes it with SentencePiece too, decodes it
-again, and puts texts together from their units.
+once, in multithreaded batches, decodes it again, encodes it with SentencePiece too to verify parity,
+and puts texts together from their units. All ids are those of the rebuilt tokenizer.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField
 
-from tapeloom.llm.common import with_added
+from tapeloom.llm.common import shipped, with_added
 from tapeloom.llm.text import Chunk, chunks, hash_words, ragged
 
 MARK = "▁"
@@ -177,12 +177,11 @@ class Codec:
         for low in range(0, len(units), BATCH_UNITS):
             part = units[low : low + BATCH_UNITS]
             encoded = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            decoded = self.tokenizer.decode_batch(encoded, skip_special_tokens=False)
             # SentencePiece adds the leading space itself, but not to nothing
             wanted = self.reference.encode([u[1:] for u in part], num_threads=THREADS)
-            wanted = [right if unit != " " else ids for unit, ids, right in zip(part, encoded, wanted)]
-            decoded = self.tokenizer.decode_batch(wanted, skip_special_tokens=False)
             for name, unit, ids, right, text in zip(names[low:], part, encoded, wanted, decoded):
-                self.seen[name] = (np.array(right, dtype=np.int32), ids == right, text == unit)
+                self.seen[name] = (np.array(ids, dtype=np.int32), unit == " " or ids == right, text == unit)
 
 
 def _units(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -242,12 +241,14 @@ def read_model(spark, path: str) -> bytes:
     return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
 
 
+@shipped
 def encode(docs: DataFrame, model: str) -> DataFrame:
     """``docs`` with ``token_ids``, ``n_tokens``, ``parity`` and ``round_trip``.
 
-    Null counts as the empty text, which has no tokens. ``token_ids`` are those of
-    SentencePiece; ``parity`` tells whether the rebuilt tokenizer agrees on every unit
-    of the text, ``round_trip`` whether the ids decode to the (normalised) text.
+    Null counts as the empty text, which has no tokens. ``token_ids`` are those of the rebuilt
+    tokenizer; ``parity`` tells whether SentencePiece agrees on every unit
+    of the text, ``round_trip`` whether the ids decode to the (normalised) text. Rows that repeat are all
+    encoded; columns of ``docs`` with the names of added ones are replaced, all others are kept; an empty table stays empty.
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_model(docs.sparkSession, model))
     kinds = [ArrayType(IntegerType()), LongType(), BooleanType(), BooleanType()]
@@ -271,6 +272,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     return with_added(docs, run, added)
 
 
+@shipped
 def encode_digest(docs: DataFrame, model: str) -> DataFrame:
     """``(doc_id, n_tokens, ids_crc32, parity, round_trip)`` per row of ``docs``; see ``encode``.
 
@@ -302,6 +304,7 @@ def encode_digest(docs: DataFrame, model: str) -> DataFrame:
     )
 
 
+@shipped
 def decode(rows: DataFrame, model: str) -> DataFrame:
     """``rows`` with ``text`` decoded from ``token_ids`` (null: null); an existing ``text`` is replaced."""
     shared = rows.sparkSession.sparkContext.broadcast(read_model(rows.sparkSession, model))
