@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField
 
-from tapeloom.llm.common import bounded_sample, held_out, with_added
+from tapeloom.llm.common import bounded_sample, held_out, numbered, shipped, with_added
 from tapeloom.llm.text import Chunk, chunks, eight_bytes, hash_words, mix64, spans
 from tapeloom.plans.staging import stage
 
@@ -63,6 +63,9 @@ LEET = {
 }
 SEPARATORS = " .-_*"
 
+# longer stretches are read without the cache of readings
+REMEMBERED = 64
+
 # costs in nats
 IMITATE, DROP, SQUEEZE, KEEP_SYMBOL = 0.5, 0.4, 0.4, 8.0
 
@@ -70,7 +73,7 @@ _LETTER = "a-zA-Z\\u00c0-\\u024f"
 _MARK = re.escape("".join(LEET))
 # a letter and an imitating mark side by side; letters set apart one by one; a letter three times
 SUSPICIOUS = re.compile(
-    rf"(?<!\S)(?=[^\s]*[{_LETTER}][{_MARK}]+[{_LETTER}]|[{_MARK}]+[{_LETTER}]{{2}})[{_LETTER}{_MARK}]{{3,32}}(?![^\s.,;:?])"
+    rf"(?<!\S)(?=[^\s]*[{_LETTER}][{_MARK}]+[{_LETTER}]|[{_MARK}]+[{_LETTER}]{{2}})[{_LETTER}{_MARK}]{{3,}}(?![^\s.,;:?])"
     rf"|(?<![^\s])[{_LETTER}{_MARK}](?:[ .\-_*]{{1,2}}[{_LETTER}{_MARK}]){{2,}}(?![^\s.,;:?!])"
     rf"|(?<![{_LETTER}])[{_LETTER}]*([{_LETTER}])\1\1[{_LETTER}]*"
 )
@@ -98,10 +101,11 @@ class CharacterModel:
     def _restore(self, stretch: str) -> str:
         """The cheapest reading of a suspicious stretch, by Viterbi over pairs of symbols."""
         cost = self.cost
-        # (last two symbols, letter that may be squeezed) -> (cost, reading)
-        beams: dict[tuple[int, int, str], tuple[float, str]] = {(0, 0, ""): (0.0, "")}
+        # (last two symbols, letter that may be squeezed) -> (cost, reading); readings are linked lists
+        # of what was added last, which share their beginnings: a stretch of any length takes linear time
+        beams: dict[tuple[int, int, str], tuple[float, tuple]] = {(0, 0, ""): (0.0, ())}
         for c in stretch.lower():
-            grown: dict[tuple[int, int, str], tuple[float, str]] = {}
+            grown: dict[tuple[int, int, str], tuple[float, tuple]] = {}
 
             def offer(key, total, text):
                 if key not in grown or total < grown[key][0]:
@@ -110,25 +114,35 @@ class CharacterModel:
             for (a, b, last), (total, text) in beams.items():
                 if c in _SYMBOL:
                     s = _SYMBOL[c]
-                    offer((b, s, c), total + cost[a, b, s], text + c)
+                    offer((b, s, c), total + cost[a, b, s], (text, c))
                     if c == last:
                         offer((a, b, c), total + SQUEEZE, text)
                 for letter in LEET.get(c, ""):
                     s = _SYMBOL[letter]
-                    offer((b, s, letter), total + IMITATE + cost[a, b, s], text + letter)
+                    offer((b, s, letter), total + IMITATE + cost[a, b, s], (text, letter))
                     if letter == last:
                         offer((a, b, letter), total + IMITATE + SQUEEZE, text)
                 if c in SEPARATORS:
                     offer((a, b, ""), total + DROP, text)
                     if b:
-                        offer((b, 0, ""), total + cost[a, b, 0], text + " ")
+                        offer((b, 0, ""), total + cost[a, b, 0], (text, " "))
                 if c not in _SYMBOL and c not in SEPARATORS:
-                    offer((b, 0, ""), total + KEEP_SYMBOL + cost[a, b, 0], text + c)
+                    offer((b, 0, ""), total + KEEP_SYMBOL + cost[a, b, 0], (text, c))
             beams = grown
-        return min((total + cost[a, b, 0], text) for (a, b, _), (total, text) in beams.items())[1]
+        ends = [(total + cost[a, b, 0], text) for (a, b, _), (total, text) in beams.items()]
+        least = min(total for total, _ in ends)
+        return min(_spelled(text) for total, text in ends if total == least)
 
     def deobfuscate(self, text: str) -> str:
-        return SUSPICIOUS.sub(lambda m: self.restore(m[0]), text)
+        return SUSPICIOUS.sub(lambda m: self.restore(m[0]) if len(m[0]) <= REMEMBERED else self._restore(m[0]), text)
+
+
+def _spelled(reading: tuple) -> str:
+    letters = []
+    while reading:
+        reading, letter = reading
+        letters.append(letter)
+    return "".join(reversed(letters))
 
 
 def _model_from_costs(cost: np.ndarray) -> CharacterModel:
@@ -138,15 +152,19 @@ def _model_from_costs(cost: np.ndarray) -> CharacterModel:
     return model
 
 
-# symbols of single bytes and of two-byte letters with lead byte 0xC3; other bytes end words
+# symbols of single bytes and of two-byte letters with lead bytes 0xC3 and 0xC5; other bytes end words
 _ASCII = np.zeros(256, dtype=np.int64)
 _AFTER_C3 = np.zeros(256, dtype=np.int64)
+_AFTER_C5 = np.zeros(256, dtype=np.int64)
 for _c, _i in _SYMBOL.items():
     _b = _c.encode()
     if len(_b) == 1:
         _ASCII[_b[0]] = _i
     elif _b[0] == 0xC3:
         _AFTER_C3[_b[1]] = _i
+    elif _b[0] == 0xC5:
+        # upper case stands before lower case
+        _AFTER_C5[_b[1]] = _AFTER_C5[_b[1] - 1] = _i
 # upper case of the same letters: 0xC3 0x80-0x9E without the multiplication sign
 for _x in range(0x80, 0x9F):
     if _x != 0x97 and not _AFTER_C3[_x]:
@@ -159,15 +177,21 @@ def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batch.column("text")):
             data = chunk.lowered().data
             symbol = _ASCII[data]
-            lead = np.flatnonzero(data[:-1] == 0xC3)
-            symbol[lead] = _AFTER_C3[data[lead + 1]]
-            s = np.delete(symbol, lead + 1)
+            second = np.zeros(len(data), dtype=bool)
+            for first, after in ((0xC3, _AFTER_C3), (0xC5, _AFTER_C5)):
+                lead = np.flatnonzero(data[:-1] == first)
+                symbol[lead] = after[data[lead + 1]]
+                second[lead + 1] = True
+            # two word boundaries between texts: no trigram reaches from one into the next
+            edges = np.concatenate([[0], np.cumsum(~second)])[chunk.offsets]
+            s = np.insert(symbol[~second], np.repeat(edges, 2), 0)
             if len(s) > 2:
                 total += np.bincount((s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:], minlength=SYMBOLS**3)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["trigram", "count"])
 
 
+@shipped
 def character_model(docs: DataFrame) -> CharacterModel:
     """Trigram counts of all texts; at most SYMBOLS ** 3 numbers reach the driver."""
     found = docs.select("text").mapInArrow(_trigrams, "trigram long, count long")
@@ -336,6 +360,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01, steps: int = 50
     return w
 
 
+@shipped
 def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS, features: int = FEATURES) -> ToxicityModel:
     """Learn from at most ``rows`` labelled documents outside the held-out fold.
 
@@ -382,10 +407,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS,
     return model
 
 
-_SCORE = "__toxicity"
+_SCORE = "score"
 
 
 def _with_score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """Numbered columns of ``docs`` and the score of each text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     text = docs.columns.index("text")
 
@@ -394,9 +420,10 @@ def _with_score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             scores = pa.array(shared.value.score(batch.column(text)))
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, _SCORE])
 
-    return with_added(docs, run, [StructField(_SCORE, DoubleType())])
+    return with_added(numbered(docs), run, [StructField(_SCORE, DoubleType())])
 
 
+@shipped
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` per row of ``docs``, whole texts, null like empty.
 
@@ -406,15 +433,21 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, *
     """
     model = fit_toxicity(docs, labels, **options)
     scored = _with_score(docs.select("doc_id", "text"), model)
+    doc_id = F.col("0")
     return scored.select(
-        "doc_id",
-        held_out("doc_id", FOLDS, HELD_OUT).alias("held_out"),
+        doc_id.alias("doc_id"),
+        held_out(doc_id, FOLDS, HELD_OUT).alias("held_out"),
         F.col(_SCORE).alias("score"),
         (F.col(_SCORE) >= threshold).cast("int").alias("predicted"),
     )
 
 
+@shipped
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
-    """``docs`` without the texts that score ``threshold`` or more."""
+    """``docs`` without the texts that score ``threshold`` or more.
+
+    A null text is scored like the empty one; a null id is no obstacle; rows that repeat share their fate; other
+    columns, whatever their names, are kept as they are; an empty table stays empty.
+    """
     model = fit_toxicity(docs, labels, **options)
-    return _with_score(docs, model).where(F.col(_SCORE) < threshold).drop(_SCORE)
+    return _with_score(docs, model).where(F.col(_SCORE) < threshold).drop(_SCORE).toDF(*docs.columns)
