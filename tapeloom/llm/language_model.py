@@ -4,15 +4,20 @@
 most frequent words (a bounded table) travel to the tasks; other words of a document
 meet their counts in a join, so nothing unbounded is broadcast.
 
-**Model.** The most frequent words are classes of their own, all others share one
-class, within which a word's probability is its smoothed share of the class. A class
-is predicted from the two before it: their vectors are mapped by one matrix per
-position and added, and the prediction meets each class vector in a dot product plus
-a bias. Training is noise-contrastive: a class is told apart from noise of the
-unigram distribution, so the model is never normalised while it learns. In each round every
-task trains on all its tokens from the shared parameters and the results are
-averaged by tokens, as one aggregation. The exact normaliser of every context comes
-from batched matrix products once the parameters are final.
+**Model.** The ``MODELLED`` most frequent words have vectors. The first ``OWN`` of them are classes of
+their own, the others share ``BINS`` classes of words of like frequency; the words beyond share one more class, within
+which a word's probability is its smoothed share. The classes of the two tokens before are mapped by one matrix per
+position and added; the prediction meets each class vector in a dot product plus a bias, and, inside a shared
+class, each word vector in another.
+
+**Training** is noise-contrastive on both levels: classes are told apart from classes drawn from the unigram
+distribution, words from words drawn from that of their class, so the model is never normalised
+while it learns. Texts are dealt to shards by a hash of their tokens, so many that a shard holds ``SHARD_TOKENS`` on average;
+every shard trains on all its tokens in a fixed order from the shared parameters, and the results are averaged by tokens.
+Nothing depends on how the rows are partitioned.
+
+**Scores.** The exact normalisers of every context, over the classes and inside every class, come from batched
+matrix products once the parameters are final.
 """
 
 from __future__ import annotations
@@ -26,21 +31,38 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeloom.llm.common import held_out
-from tapeloom.llm.text import chunks, hash_words, ragged, words
+from tapeloom.llm.common import held_out, shipped
+from tapeloom.llm.text import chunks, hash_words, ragged
+from tapeloom.llm.text import words as word_runs
 from tapeloom.plans.staging import stage
 
 FOLDS, HELD_OUT = 7, 2
-# classes fit one byte; the last two are the shared class and the end of a text
+# the last two classes are that of the words without vectors and the end of a text
 CLASSES = 256
 OTHER, END, BEGIN = CLASSES - 2, CLASSES - 1, CLASSES
+OWN = 126
+BINS = OTHER - OWN
+# words with vectors, by rank; the number of all others fits two bytes as well
+MODELLED = (1 << 16) - 1
+NONE = MODELLED
 DIMENSION = 16
 NOISE = 32
 ROUNDS = 2
 RATE = 0.05
 STEPS = 120
-# contexts that a step looks at
+# contexts that a step looks at, and noise classes that it draws for all of them
 CONTEXTS = 1024
+DRAWN = 4096
+# inside a class: tokens of a step, noise words drawn for each, step size
+WORD_STEP = 8192
+WORD_NOISE = 4
+WORD_RATE = 0.3
+# tokens of a shard; longer texts are cut for training
+SHARD_TOKENS = 4_000_000
+PIECE_TOKENS = 1 << 16
+# words of a row of parameters, tokens of a slice of scores
+BLOCK_WORDS = 1024
+SLICE_TOKENS = 200_000
 # words whose counts travel to the tasks
 HEAD_WORDS = 1 << 18
 SEED = 5
@@ -50,7 +72,7 @@ def _hashed(column: pa.Array):
     """Per chunk: number of texts, word hashes (in lower case), owners."""
     for chunk in chunks(column):
         low = chunk.lowered()
-        starts, ends, owner = words(low)
+        starts, ends, owner = word_runs(low)
         yield len(chunk.lengths), hash_words(low.data, starts, ends).view(np.int64), owner
 
 
@@ -63,11 +85,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Head:
-    """The most frequent words by hash, their counts and classes, and the totals."""
+    """The most frequent words by hash, their counts and ranks (``NONE``: without a vector), and the totals.
+
+    By rank: ``rank_counts``, and ``class_of`` with one entry more, for ``NONE``.
+    """
 
     words: np.ndarray
     counts: np.ndarray
-    classes: np.ndarray
+    ranks: np.ndarray
+    rank_counts: np.ndarray
+    class_of: np.ndarray
     documents: int
     tokens: int
     distinct: int
@@ -98,25 +125,35 @@ def _head(counts: DataFrame, documents: int, head_words: int) -> Head:
     # bounded by ``head_words``
     top = counts.where(F.col("count") >= least if least is not None else F.lit(False)).toArrow()
     word, count = top.column("word").to_numpy(), top.column("count").to_numpy()
-    ranked = np.lexsort((word, -count))
-    classes = np.full(len(word), OTHER, dtype=np.uint8)
-    classes[ranked[:OTHER]] = np.arange(min(len(word), OTHER))
+    ranked = np.lexsort((word, -count))[:MODELLED]
+    ranks = np.full(len(word), NONE, dtype=np.uint16)
+    ranks[ranked] = np.arange(len(ranked))
     order = np.argsort(word)
-    own = int(count[ranked[:OTHER]].sum())
+    own = count[ranked].astype(np.float64)
     return Head(
-        word[order], count[order].astype(np.float64), classes[order], documents,
-        tokens + documents, distinct + (documents > 0), tokens - own, distinct - min(len(word), OTHER),
+        word[order], count[order].astype(np.float64), ranks[order], own, class_of_ranks(own), documents,
+        tokens + documents, distinct + (documents > 0), tokens - int(own.sum()), distinct - len(own),
     )
 
 
+def class_of_ranks(counts: np.ndarray) -> np.ndarray:
+    """Class of each rank, and ``OTHER`` for ``NONE``: neighbours in rank share a class, alike in the sum of roots of counts."""
+    out = np.full(MODELLED + 1, OTHER, dtype=np.int16)
+    out[: min(OWN, len(counts))] = np.arange(min(OWN, len(counts)))
+    mass = np.cumsum(np.sqrt(counts[OWN:]))
+    if len(mass):
+        out[OWN : len(counts)] = OWN + np.minimum((mass - mass[0]) / mass[-1] * BINS, BINS - 1).astype(np.int16)
+    return out
+
+
 _DIGEST = (
     "doc_id long, row long, held_out boolean, n_tokens long, known long, base double, inside double, "
-    "classes binary, rare array<long>, rare_count array<int>"
+    "ranks binary, rare array<long>, rare_count array<int>"
 )
 
 
 def _digests(shared):
-    """Per text: tokens, what its frequent words add to both scores, its classes, its other words."""
+    """Per text: tokens, what its frequent words add to both scores, its words by rank, its other words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head: Head = shared.value
@@ -132,16 +169,16 @@ def _digests(shared):
                     frequent = head.words[place] == hashes
                 else:
                     place, frequent = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), dtype=bool)
-                classes = np.full(len(hashes), OTHER, dtype=np.uint8)
-                classes[frequent] = head.classes[place[frequent]]
+                ranks = np.full(len(hashes), NONE, dtype="<u2")
+                ranks[frequent] = head.ranks[place[frequent]]
                 logs = np.zeros(len(hashes))
                 logs[frequent] = gain[place[frequent]]
                 count = np.bincount(owner, minlength=texts)
-                shared_class = classes == OTHER
+                shared_class = ranks == NONE
                 per_text = lambda weights: np.bincount(owner, weights, minlength=texts)
                 inside = per_text(np.where(shared_class, logs - other, 0.0))
-                ends = np.cumsum(count)
-                raw, cuts = classes.tobytes(), [0, *ends.tolist()]
+                ends = 2 * np.cumsum(count)
+                raw, cuts = ranks.tobytes(), [0, *ends.tolist()]
                 # words that need a join, once per text
                 rare = np.flatnonzero(~frequent)
                 order = np.lexsort((hashes[rare], owner[rare]))
@@ -172,24 +209,51 @@ def _digests(shared):
     return run
 
 
-def trigrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Classes two and one before, class, and text of every token; each text ends with ``END``."""
-    sizes = np.asarray(pc.binary_length(column)).astype(np.int64)
+@dataclass
+class Tokens:
+    """Classes two and one before, class, rank and text of every token; each text ends with ``END``."""
+
+    far: np.ndarray
+    near: np.ndarray
+    kind: np.ndarray
+    rank: np.ndarray
+    text: np.ndarray
+
+    @property
+    def context(self) -> np.ndarray:
+        return self.far * (CLASSES + 1) + self.near
+
+
+def tokens_of(column: pa.Array, class_of: np.ndarray) -> Tokens:
+    """The tokens of texts given as ranks."""
+    sizes = np.asarray(pc.binary_length(column)).astype(np.int64) // 2
     count = len(sizes)
-    flat = np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8)
+    flat = np.frombuffer(b"".join(column.to_pylist()), dtype="<u2")
     text = np.repeat(np.arange(count), sizes + 3)
     first = np.cumsum(sizes + 3) - (sizes + 3)
-    padded = np.full(len(text), BEGIN, dtype=np.int16)
-    inner = np.ones(len(text), dtype=bool)
-    inner[first] = inner[first + 1] = False
     last = first + sizes + 2
-    inner[last] = False
-    padded[inner] = flat
-    padded[last] = END
+    inner = np.ones(len(text), dtype=bool)
+    inner[first] = inner[first + 1] = inner[last] = False
+    rank = np.full(len(text), NONE, dtype=np.int64)
+    rank[inner] = flat
+    kind = np.full(len(text), BEGIN, dtype=np.int64)
+    kind[inner] = class_of[flat]
+    kind[last] = END
     token = np.ones(len(text), dtype=bool)
     token[first] = token[first + 1] = False
     at = np.flatnonzero(token)
-    return padded[at - 2].astype(np.int64), padded[at - 1].astype(np.int64), padded[at].astype(np.int64), text[at]
+    return Tokens(kind[at - 2], kind[at - 1], kind[at], rank[at], text[at])
+
+
+def _slices(column: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """Texts given as ranks, so many at a time that they have about ``SLICE_TOKENS`` tokens (one text at least)."""
+    ends = np.cumsum(np.asarray(pc.binary_length(column)).astype(np.int64) // 2 + 3)
+    low = 0
+    while low < len(column):
+        done = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, done + SLICE_TOKENS, side="right")))
+        yield low, column.slice(low, high - low)
+        low = high
 
 
 @dataclass
@@ -241,8 +305,8 @@ class LogBilinear:
     def train(self, far: np.ndarray, near: np.ndarray, word: np.ndarray, weight: np.ndarray, unigram: np.ndarray) -> None:
         """Noise-contrastive steps over weighted trigrams, with adaptive moments.
 
-        Each context meets its classes as data and ``NOISE`` times as much noise;
-        the noise term is taken in expectation over the classes instead of drawn.
+        Each context meets its classes as data and ``NOISE`` times as much noise. A step draws ``DRAWN`` noise
+        classes from the unigram distribution, and all its contexts meet them, weighted by their own tokens.
         """
         context, of, size = np.unique(far * (CLASSES + 1) + near, return_inverse=True, return_counts=True)
         order = np.argsort(of, kind="stable")
@@ -268,7 +332,8 @@ class LogBilinear:
             cell = ragged(begin[at], size[at])
             data = np.bincount(row * CLASSES + word[cell], weight[cell] * scale[row], minlength=len(at) * CLASSES)
             data = data.reshape(len(at), CLASSES)
-            noise = NOISE * unigram * (share[at] * scale)[:, None]
+            drawn = random.multinomial(DRAWN, unigram) / DRAWN
+            noise = NOISE * drawn * (share[at] * scale)[:, None]
             f, n = far[at], near[at]
             q = self.predicted(f, n)
             p = _sigmoid(q @ self.target.T + self.bias - log_noise)
@@ -292,48 +357,220 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _round(shared, unigram: np.ndarray):
-    """Train on all texts of a task from the shared parameters; its parameters, weighted by tokens."""
+@dataclass
+class Words:
+    """Vectors and biases of the words in shared classes, in the order of ranks from ``OWN`` on."""
+
+    vectors: np.ndarray
+    bias: np.ndarray
+    log_share: np.ndarray
+    first: np.ndarray
+
+    @classmethod
+    def start(cls, head: Head) -> Words:
+        """Every word with its share of its class: the unigram model."""
+        counts, classes = head.rank_counts[OWN:] + 0.5, head.class_of[OWN : len(head.rank_counts)] - OWN
+        first = np.searchsorted(classes, np.arange(BINS + 1))
+        log_share = np.log(counts) - np.log(np.maximum(np.bincount(classes, counts, minlength=1), 0.5))[classes]
+        return cls(np.zeros((len(counts), DIMENSION)), log_share.copy(), log_share, first)
+
+    def train(self, q: np.ndarray, word: np.ndarray, kind: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Noise-contrastive steps over tokens with predictions ``q``; returns the weight of tokens of each word.
+
+        Step sizes adapt by word. Noise words are drawn from the shares of the token's class.
+        """
+        random = np.random.default_rng(SEED)
+        ends = np.cumsum(np.exp(self.log_share))
+        begin = np.concatenate([[0.0], ends])[self.first]
+        seen, spent = np.bincount(word, weight, minlength=len(self.bias)), np.full(len(self.bias), 1e-6)
+        order = random.permutation(len(word))
+        for low in range(0, len(order), WORD_STEP):
+            at = order[low : low + WORD_STEP]
+            c = kind[at]
+            draw = begin[c][:, None] + random.random((len(at), WORD_NOISE)) * (begin[c + 1] - begin[c])[:, None]
+            noise = np.clip(np.searchsorted(ends, draw), self.first[c][:, None], self.first[c + 1][:, None] - 1)
+            ids = np.concatenate([word[at][:, None], noise], axis=1)
+            s = np.einsum("bd,bkd->bk", q[at], self.vectors[ids]) + self.bias[ids]
+            push = -_sigmoid(s - self.log_share[ids] - np.log(WORD_NOISE))
+            push[:, 0] += 1
+            push *= np.minimum(weight[at], 16.0)[:, None]
+            flat, push = ids.ravel(), push.ravel()
+            np.add.at(spent, flat, push * push)
+            step = WORD_RATE * push / np.sqrt(spent[flat])
+            np.add.at(self.vectors, flat, step[:, None] * np.repeat(q[at], 1 + WORD_NOISE, axis=0))
+            np.add.at(self.bias, flat, 0.1 * step)
+        return seen
+
+    def normalisers(self, q: np.ndarray) -> np.ndarray:
+        """Log of the sum over the words of each shared class for each prediction."""
+        out = np.full((len(q), BINS), -np.inf, dtype=np.float32)
+        filled = np.flatnonzero(np.diff(self.first))
+        if len(filled):
+            s = q.astype(np.float32) @ self.vectors.T.astype(np.float32) + self.bias.astype(np.float32)
+            # scores stay small: the bias is a log share, vectors are bounded by their steps
+            top = s.max(axis=1, keepdims=True)
+            np.exp(np.subtract(s, top, out=s), out=s)
+            out[:, filled] = np.log(np.maximum(np.add.reduceat(s, self.first[filled], axis=1), 1e-37)) + top
+        return out
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as ranks, long ones cut."""
+    for batch in batches:
+        out = []
+        for raw in batch.column("ranks").to_pylist():
+            out += [raw[a : a + 2 * PIECE_TOKENS] for a in range(0, len(raw), 2 * PIECE_TOKENS)] or [raw]
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ranks"])
+
+
+def _sharded(ranks: DataFrame, shards: int) -> DataFrame:
+    """``(shard, ranks, copies)``: equal texts counted, dealt by a hash of their tokens, in a fixed order."""
+    pieces = ranks.mapInArrow(_pieces, "ranks binary").groupBy("ranks").agg(F.count(F.lit(1)).alias("copies"))
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("ranks"), F.lit(shards)))
+    return stage(dealt.repartition(shards, "shard").sortWithinPartitions("shard", "ranks"))
+
+
+def _shards(batches: Iterator[pa.RecordBatch], class_of: np.ndarray) -> Iterator[tuple[int, Tokens, np.ndarray]]:
+    """Each shard's tokens and their weights, in order."""
+    held: list[tuple[Tokens, np.ndarray]] = []
+    name = None
+
+    def joined():
+        parts = [np.concatenate([getattr(h[0], f) for h in held]) for f in ("far", "near", "kind", "rank", "text")]
+        return name, Tokens(*parts), np.concatenate([h[1] for h in held])
+
+    for batch in batches:
+        shard = batch.column("shard").to_numpy()
+        edges = np.flatnonzero(np.diff(shard, prepend=shard[0] - 1)) if len(shard) else []
+        for low, high in zip(edges, [*edges[1:], len(shard)]):
+            if held and shard[low] != name:
+                yield joined()
+                held = []
+            name = int(shard[low])
+            part = batch.slice(low, high - low)
+            for first, texts in _slices(part.column("ranks")):
+                found = tokens_of(texts, class_of)
+                copies = part.column("copies").slice(first, len(texts)).to_numpy().astype(np.float64)
+                held.append((found, copies[found.text]))
+    if held:
+        yield joined()
+
+
+def _class_round(shared, unigram: np.ndarray, class_of):
+    """Train the classes on every shard from the shared parameters; parameters weighted by tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value.copy()
-        # counts of trigrams: at most (CLASSES + 1) ** 2 * CLASSES different ones
-        total: dict[str, np.ndarray] = {"code": np.zeros(0, np.int64), "count": np.zeros(0)}
-        tokens = 0
-        for batch in batches:
-            codes = []
-            for low in range(0, batch.num_rows, 1000):
-                far, near, word, _ = trigrams(batch.column("classes").slice(low, 1000))
-                codes.append((far * (CLASSES + 1) + near) * CLASSES + word)
-                tokens += len(word)
-            code, count = np.unique(np.concatenate(codes), return_counts=True)
-            code, place = np.unique(np.concatenate([total["code"], code]), return_inverse=True)
-            total = {"code": code, "count": np.bincount(place, np.concatenate([total["count"], count]))}
-        if tokens:
-            rest, word = np.divmod(total["code"], CLASSES)
+        for _, tokens, weight in _shards(batches, class_of.value):
+            model = shared.value.copy()
+            code, place = np.unique(tokens.context * CLASSES + tokens.kind, return_inverse=True)
+            rest, kind = np.divmod(code, CLASSES)
             far, near = np.divmod(rest, CLASSES + 1)
-            model.train(far, near, word, total["count"], unigram)
-        if tokens:
-            value = model.flat() * tokens
+            model.train(far, near, kind, np.bincount(place, weight), unigram)
+            value = model.flat() * weight.sum()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(value))), pa.array(value), pa.array(np.full(len(value), tokens))],
+                [pa.array(np.arange(len(value))), pa.array(value), pa.array(np.full(len(value), weight.sum()))],
                 ["place", "value", "tokens"],
             )
 
     return run
 
 
-def _scores(shared):
+_BLOCK_TYPE = "block int, part int, numbers binary"
+
+
+def _word_round(shared, class_of):
+    """Train the words in shared classes on every shard; blocks of parameters weighted by the words' tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, start = shared.value
+        for shard, tokens, weight in _shards(batches, class_of.value):
+            at = np.flatnonzero((tokens.kind >= OWN) & (tokens.kind < OTHER))
+            words = Words(start.vectors.copy(), start.bias.copy(), start.log_share, start.first)
+            q = model.predicted(tokens.far[at], tokens.near[at])
+            seen = words.train(q, tokens.rank[at] - OWN, tokens.kind[at] - OWN, weight[at])
+            rows = np.concatenate([words.vectors * seen[:, None], (words.bias * seen)[:, None], seen[:, None]], axis=1)
+            blocks = [rows[a : a + BLOCK_WORDS].tobytes() for a in range(0, len(rows), BLOCK_WORDS)]
+            n = np.arange(len(blocks), dtype=np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(n), pa.array(np.full(len(n), shard % 64, dtype=np.int32)), pa.array(blocks, pa.binary())],
+                ["block", "part", "numbers"],
+            )
+
+    return run
+
+
+def _added_up(keys: list[str]):
+    """Blocks in the order of ``keys`` to the sum of each key's blocks, one block in memory at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, total = None, None
+
+        def written():
+            return pa.RecordBatch.from_arrays(
+                [pa.array([name[0]], pa.int32()), pa.array([name[-1]], pa.int32()), pa.array([total.tobytes()], pa.binary())],
+                ["block", "part", "numbers"],
+            )
+
+        for batch in batches:
+            for key, raw in zip(zip(*(batch.column(k).to_pylist() for k in keys)), batch.column("numbers")):
+                numbers = np.frombuffer(raw.as_py(), dtype=np.float64)
+                if key == name:
+                    total += numbers
+                    continue
+                if name is not None:
+                    yield written()
+                name, total = key, numbers.copy()
+        if name is not None:
+            yield written()
+
+    return run
+
+
+def _averaged(blocks: DataFrame, start: Words) -> Words:
+    """The mean of the shards' words; a word that no shard has seen keeps its start. Sums go through two levels."""
+    for keys in (["block", "part"], ["block"]):
+        blocks = blocks.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_added_up(keys), _BLOCK_TYPE)
+    # bounded: one row per block of MODELLED words
+    found = blocks.select("block", "numbers").toArrow().sort_by("block")
+    raw = b"".join(found.column("numbers").to_pylist())
+    if not raw:
+        return start
+    rows = np.frombuffer(raw, dtype=np.float64).reshape(-1, DIMENSION + 2)
+    seen = np.maximum(rows[:, -1:], 1e-300)
+    new = rows[:, -1] > 0
+    vectors = np.where(new[:, None], rows[:, :DIMENSION] / seen, start.vectors)
+    return Words(vectors, np.where(new, rows[:, DIMENSION] / seen[:, 0], start.bias), start.log_share, start.first)
+
+
+def _inner_normalisers(shared):
+    """For each far class: the normalisers inside every shared class, for all near classes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, normaliser = shared.value
+        model, words = shared.value
+        near = np.arange(CLASSES + 1)
+        for batch in batches:
+            for far in batch.column("id").to_pylist():
+                z = words.normalisers(model.predicted(np.full(len(near), far), near))
+                yield pa.RecordBatch.from_arrays([pa.array([far]), pa.array([z.tobytes()], pa.binary())], ["id", "z"])
+
+    return run
+
+
+def _scores(shared, class_of):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, words, normaliser, inner = shared.value
         far_part, near_part = model.context @ model.far, model.context @ model.near
         for batch in batches:
             out = []
-            for low in range(0, batch.num_rows, 500):
-                part = batch.column("classes").slice(low, 500)
-                far, near, word, text = trigrams(part)
-                s = np.einsum("ij,ij->i", far_part[far] + near_part[near], model.target[word]) + model.bias[word]
-                out.append(np.bincount(text, s - normaliser[far, near], minlength=len(part)) / np.log(10))
+            for _, part in _slices(batch.column("ranks")):
+                t = tokens_of(part, class_of.value)
+                q = far_part[t.far] + near_part[t.near]
+                s = np.einsum("ij,ij->i", q, model.target[t.kind]) + model.bias[t.kind] - normaliser[t.far, t.near]
+                at = np.flatnonzero((t.kind >= OWN) & (t.kind < OTHER))
+                word = t.rank[at] - OWN
+                s[at] += np.einsum("ij,ij->i", q[at], words.vectors[word]) + words.bias[word]
+                s[at] -= inner[t.context[at], t.kind[at] - OWN]
+                out.append(np.bincount(t.text, s, minlength=len(part)) / np.log(10))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(np.concatenate(out) if out else np.zeros(0))], ["row", "model"]
             )
@@ -341,14 +578,18 @@ def _scores(shared):
     return run
 
 
-def score_texts(docs: DataFrame, rounds: int = ROUNDS, head_words: int = HEAD_WORDS) -> DataFrame:
+@shipped
+def score_texts(
+    docs: DataFrame, rounds: int = ROUNDS, head_words: int = HEAD_WORDS, shard_tokens: int = SHARD_TOKENS
+) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` per row of ``docs``.
 
     Texts are whole, null like empty; every text ends with one end token, so the
     empty text has one token. Learned from the rows outside the held-out fold (a
     null id is never held out). Rows that repeat are all counted and scored; other
     columns are not read; an empty table gives no rows. Without training rows all
-    counts are zero and the model is uniform over its classes.
+    counts are zero and the model is uniform over its classes. How the rows are
+    partitioned changes nothing; ``shard_tokens`` belongs to the model's parameters.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -364,16 +605,18 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS, head_words: int = HEAD_WO
     head = _head(counts, training.count(), head_words)
     digest = stage(rows.mapInArrow(_digests(spark.sparkContext.broadcast(head)), _DIGEST))
 
+    context = spark.sparkContext
+    class_of = context.broadcast(head.class_of)
     unigram = np.full(CLASSES, 0.5)
-    np.add.at(unigram, head.classes, head.counts)
+    np.add.at(unigram, head.class_of[: len(head.rank_counts)], head.rank_counts)
     unigram[OTHER] = head.other_tokens + 0.5
     unigram[END] += head.documents
     unigram /= unigram.sum()
     model = LogBilinear.start(unigram)
-    learned = digest.where("not held_out").select("classes")
+    learned = _sharded(digest.where("not held_out").select("ranks"), max(1, -(-head.tokens // shard_tokens)))
     for _ in range(rounds):
         trained = learned.mapInArrow(
-            _round(spark.sparkContext.broadcast(model), unigram), "place long, value double, tokens long"
+            _class_round(context.broadcast(model), unigram, class_of), "place long, value double, tokens double"
         )
         # one row per parameter
         mean = trained.groupBy("place").agg((F.sum("value") / F.sum("tokens")).alias("value")).toArrow()
@@ -381,10 +624,18 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS, head_words: int = HEAD_WO
             flat = np.zeros(mean.num_rows)
             flat[mean.column("place").to_numpy()] = mean.column("value").to_numpy()
             model = model.filled(flat)
-
+    words = Words.start(head)
+    if len(words.bias):
+        words = _averaged(learned.mapInArrow(_word_round(context.broadcast((model, words)), class_of), _BLOCK_TYPE), words)
+
+    # bounded: a row per class
+    shared = context.broadcast((model, words))
+    rows_of_z = spark.range(0, CLASSES + 1, 1, min(CLASSES + 1, 4 * context.defaultParallelism))
+    rows_of_z = rows_of_z.mapInArrow(_inner_normalisers(shared), "id long, z binary").toArrow().sort_by("id")
+    inner = np.frombuffer(b"".join(rows_of_z.column("z").to_pylist()), dtype=np.float32).reshape(-1, BINS)
     scored = stage(
-        digest.select("row", "classes").mapInArrow(
-            _scores(spark.sparkContext.broadcast((model, model.normalisers()))), "row long, model double"
+        digest.select("row", "ranks").mapInArrow(
+            _scores(context.broadcast((model, words, model.normalisers(), inner)), class_of), "row long, model double"
         )
     )
     rare = digest.select("row", F.explode(F.arrays_zip("rare", "rare_count")).alias("w"))
@@ -398,7 +649,7 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS, head_words: int = HEAD_WO
     zero = F.lit(0.0)
     logs = F.coalesce("logs", zero)
     return (
-        digest.drop("classes", "rare", "rare_count")
+        digest.drop("ranks", "rare", "rare_count")
         .join(scored, "row")
         .join(found, "row", "left")
         .select(
