@@ -32,6 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tapeloom.llm.common import shipped
 from tapeloom.plans.staging import stage
 
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 2, 3, 2, 1
@@ -233,11 +234,17 @@ def _whole(cells: DataFrame, fan: int) -> DataFrame:
 
 def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The cheapest way through each conversation's cell."""
+    schema = pa.schema([("conv", pa.string()), ("cost", pa.int64()), ("audit", pa.string())])
     for batch in batches:
-        for i in range(batch.num_rows):
+        found, letters = [], 0
+        for i, conv in enumerate(batch.column("conv").to_pylist()):
             costs, audits = batch.column("costs")[i].as_py(), batch.column("audits")[i].as_py()
-            cost, audit = min((costs[q], audits[q]) for q in _FINAL if costs[q] is not None)
-            yield pa.RecordBatch.from_pylist([{"conv": batch.column("conv")[i].as_py(), "cost": cost, "audit": audit}])
+            found.append((conv, *min((costs[q], audits[q]) for q in _FINAL if costs[q] is not None)))
+            letters += len(found[-1][2])
+            if letters > 1 << 22:
+                yield _columns(found, schema)
+                found, letters = [], 0
+        yield _columns(found, schema)
 
 
 _DIGEST_ARROW = pa.schema([("conv", pa.string()), ("repaired_sha256", pa.string())])
@@ -356,6 +363,7 @@ def faults(rows: DataFrame) -> DataFrame:
 ORDER = ["conv", "turn", "role", "head", "digest"]
 
 
+@shipped
 def repair_conversations(conversations: DataFrame, span: int = SPAN, fan: int = FAN) -> DataFrame:
     """Damage, faults, cheapest repair and its digest, one row per ``conv_id`` of the input.
 
