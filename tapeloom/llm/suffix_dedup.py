@@ -1,21 +1,22 @@
-"""Removal of long repeated byte strings with a logarithmic family of suffix indexes.
+"""Removal of long repeated byte strings with a logarithmic family of suffix arrays.
 
 **Sparse suffixes.** Every window of ``length`` bytes elects one anchor inside it:
 the start of its ``gram``-byte string with the least hash (leftmost on ties). The
 choice depends on the window's bytes alone, so equal windows elect the same place,
-and neighbouring windows mostly share their anchor: about one suffix in 140 is
-indexed instead of all. A suffix is keyed by its first two bytes in byte order and
-a fingerprint of its first ``gram`` bytes: equal prefixes are neighbours, which is
-all that a merge scan asks of a suffix array.
-
-**Family of indexes.** A batch of documents becomes a sorted run of distinct suffix
-keys with counts. It is merged with the existing levels of equal size, one after
-the other, into the next level (sizes are powers of two), and scanned against the
-levels that are left. Keys that have now been seen twice are the batch's matches.
-
-**Exact windows.** Suffixes with a matched key are candidates. A candidate stands
+and neighbouring windows mostly share their anchor: about one suffix in 170 is
+indexed instead of all. Equal windows have anchors whose suffixes agree in
+``gram`` bytes or more, so ``gram`` bytes of each suffix are kept and sorted.
+
+**Family of arrays.** A batch of documents becomes a suffix array: its suffixes in byte
+order, range-partitioned, equal ones counted. A merge scan walks the batch's array and those of the
+levels as one sorted run and takes the common prefix of every two neighbours from their bytes; ``gram``
+bytes in common are a match. Levels as large as the batch (sizes are powers of two) are merged
+with it into the next level by the same scan. Levels can be kept on disk (``DedupIndex``): a later batch
+reads them and not the documents before it.
+
+**Exact windows.** Suffixes with a matched prefix are candidates. A candidate stands
 for a run of windows; their union is fingerprinted as a whole, and if it
-occurs twice all its windows do. Of candidates whose union is single but whose key is
+occurs twice all its windows do. Of candidates whose union is single but whose prefix is
 not, the windows are compared one by one, after a coarser step has left out the
 stretches whose shared core is single. Fingerprints of windows have 112 bits or more.
 """
@@ -27,19 +28,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.llm.text import Chunk, chunks, eight_bytes, mix64, ragged, spans
+from tapeloom.llm.blocks import whole_groups
+from tapeloom.llm.common import numbered, ship, shipped
+from tapeloom.llm.text import Chunk, chunks, eight_bytes, mix64, ragged, spans, words
 from tapeloom.plans.staging import stage
+from tapeloom.sources.versions import VersionedTable
 
 LENGTH = 400
-GRAM = 128
+GRAM = 64
 BATCHES = 4
 # windows compared together in the step between whole candidates and single windows
 STRETCH = 16
 # a longer text is walked in segments of so many windows
 SEGMENT = 1 << 19
+# the rows of one prefix are dealt to so many tasks
+SPREAD = 16
 
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _BASE_INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
@@ -89,17 +95,17 @@ def _shaped(union: np.ndarray, shift: np.ndarray, count: np.ndarray) -> np.ndarr
 def anchors(
     data: np.ndarray, offsets: np.ndarray, length: int, gram: int
 ) -> tuple[np.ndarray, ...]:
-    """Runs of windows with one anchor: text, first window, windows, shift, key, print of their union.
+    """Runs of windows with one anchor: text, first window, windows, shift, key, print of their union, anchor.
 
-    First windows are positions in ``data``. ``shift`` places the first window relative
-    to the anchor: equal windows have equal shifts.
+    First windows and anchors are positions in ``data``. ``shift`` places the first window relative
+    to the anchor: equal windows have equal shifts. The key is the print of the suffix's first ``gram`` bytes.
     """
     size = np.diff(offsets)
     windows = np.maximum(size - length + 1, 0)
     starts = ragged(offsets[:-1], windows)
     if not len(starts):
         none = np.zeros(0, dtype=np.int64)
-        return none, none, none, none, none.view(np.uint64), none.view(np.uint64)
+        return none, none, none, none, none.view(np.uint64), none.view(np.uint64), none
     prints = Prints(data)
     place = np.arange(len(data) - gram + 1)
     grams = prints.of(place, place + gram)
@@ -109,12 +115,11 @@ def anchors(
     new = np.flatnonzero(np.diff(anchor, prepend=-1))
     first, anchor = starts[new], anchor[new]
     count = np.diff(np.append(new, len(starts)))
-    head = (data[anchor].astype(np.uint64) << np.uint64(8)) | data[anchor + 1]
-    key = (head << np.uint64(48)) | (grams[anchor] >> np.uint64(16))
+    key = grams[anchor]
     shift = length + first - anchor
     union = prints.of(first, first + count - 1 + length)
     text = np.searchsorted(offsets, first, side="right") - 1
-    return text, first, count, shift, key, _shaped(union, shift, count)
+    return text, first, count, shift, key, _shaped(union, shift, count), anchor
 
 
 def _segments(chunk: Chunk, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
@@ -158,34 +163,112 @@ def _suffixes(length: int, gram: int):
         for batch in batches:
             for chunk in chunks(batch.column("text")):
                 for data, offsets, before in _segments(chunk, length):
-                    text, first, count, shift, key, whole = anchors(data, offsets, length, gram)
+                    text, first, count, shift, key, whole, _ = anchors(data, offsets, length, gram)
                     yield _rows(batch, chunk.first + text, before + first - offsets[text], count, shift, key, whole)
 
     return run
 
 
+def _prefixes(length: int, gram: int):
+    """The first ``gram`` bytes of every suffix, equal ones of a chunk counted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in chunks(batch.column("text")):
+                for data, offsets, _ in _segments(chunk, length):
+                    *_, key, _, anchor = anchors(data, offsets, length, gram)
+                    if len(anchor):
+                        _, place, copies = np.unique(key, return_index=True, return_counts=True)
+                        yield _array_rows(data[anchor[place, None] + np.arange(gram)], copies, ["prefix", "copies"])
+
+    return run
+
+
+def _array_rows(prefixes: np.ndarray, copies: np.ndarray, names: list[str], *more: pa.Array) -> pa.RecordBatch:
+    n, gram = prefixes.shape
+    ends = pa.py_buffer(np.arange(0, (n + 1) * gram, gram, dtype=np.int32))
+    column = pa.BinaryArray.from_buffers(pa.binary(), n, [None, ends, pa.py_buffer(np.ascontiguousarray(prefixes))])
+    return pa.RecordBatch.from_arrays([column, pa.array(copies.astype(np.int64)), *more], names)
+
+
+def common_prefixes(rows: np.ndarray) -> np.ndarray:
+    """Bytes that each row of a byte matrix has in common with the row before it (the first: none)."""
+    differ = rows[1:] != rows[:-1]
+    some = differ.any(axis=1)
+    return np.concatenate([[0], np.where(some, differ.argmax(axis=1), rows.shape[1])])
+
+
+_ARRAY = "prefix binary, copies long, key long, merged long, match boolean"
+
+
+def _merge_scan(gram: int):
+    """Sorted suffixes of a batch and of levels: equal ones become one, with their copies and whether they match.
+
+    ``mine`` marks what goes into the merged level; ``merged`` counts the copies there.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, ["prefix"]):
+            column = rows.column("prefix").combine_chunks()
+            low = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset]
+            data = np.frombuffer(column.buffers()[2], dtype=np.uint8)
+            matrix = data[low : low + len(column) * gram].reshape(-1, gram)
+            new = np.flatnonzero(common_prefixes(matrix) < gram)
+            copies, fresh, mine = (rows.column(c).to_numpy() for c in ("copies", "fresh", "mine"))
+            total = np.add.reduceat(copies, new)
+            merged = np.add.reduceat(np.where(mine, copies, 0), new)
+            match = np.logical_or.reduceat(fresh, new) & (total > 1)
+            kept = np.ascontiguousarray(matrix[new])
+            starts = np.arange(len(new)) * gram
+            key = Prints(kept.ravel()).of(starts, starts + gram)
+            names = ["prefix", "copies", "key", "merged", "match"]
+            yield _array_rows(kept, total, names, _signed(key), pa.array(merged.astype(np.int64)), pa.array(match))
+
+    return run
+
+
 class SuffixIndexFamily:
-    """Levels of sorted suffix keys; level sizes are powers of two in batches."""
+    """Levels of suffix arrays ``(prefix, copies)`` in byte order; level sizes are powers of two in batches.
 
-    def __init__(self) -> None:
+    With a ``store`` the levels found there are the family's, and every batch is one commit to it.
+    """
+
+    def __init__(self, length: int, gram: int, store: VersionedTable | None = None) -> None:
+        self.length, self.gram, self.store = length, gram, store
         self.levels: list[tuple[int, DataFrame]] = []
+        if store is not None:
+            sizes = sorted((int(n.removeprefix("level_")) for n in store.current().folders if n.startswith("level_")), reverse=True)
+            self.levels = [(size, store.read(f"level_{size}")) for size in sizes]
+
+    def add(self, texts: DataFrame, append: dict[str, DataFrame] | None = None, last: bool = False) -> DataFrame:
+        """Take in a batch ``texts(text)``; returns the keys of the suffixes that match because of it.
 
-    def add(self, suffixes: DataFrame) -> DataFrame:
-        """Take in a batch ``suffixes(key)``; returns the keys seen twice or more because of it."""
-        merged = suffixes.select("key", F.lit(1).cast("long").alias("copies"), F.lit(True).alias("new"))
-        size = 1
+        ``append`` names frames that the same commit adds to the store. After the ``last`` batch no level is kept.
+        """
+        batch = texts.select("text").mapInArrow(_prefixes(self.length, self.gram), "prefix binary, copies long")
+        size, popped = 1, []
         while self.levels and self.levels[-1][0] == size:
-            _, level = self.levels.pop()
-            merged = merged.union(level.select("key", "copies", F.lit(False)))
+            popped.append(self.levels.pop())
             size *= 2
-        merged = merged.groupBy("key").agg(F.sum("copies").alias("copies"), F.max("new").alias("new"))
-        merged = stage(merged.sortWithinPartitions("key"))
-        found = merged.where("new and copies > 1").select("key")
-        fresh = merged.where("new").select("key")
+        flagged = lambda rows, fresh, mine: rows.select("prefix", "copies", F.lit(fresh).alias("fresh"), F.lit(mine).alias("mine"))
+        # sampled for its ranges and then shuffled: written once, tightly
+        line = flagged(stage(batch, "zstd"), True, True)
+        for _, level in popped:
+            line = line.union(flagged(level, False, True))
         for _, level in self.levels:
-            found = found.union(fresh.join(level.select("key"), "key"))
-        self.levels.append((size, merged.select("key", "copies")))
-        return found
+            line = line.union(flagged(level, False, False))
+        ordered = line.repartitionByRange("prefix").sortWithinPartitions("prefix")
+        scanned = ordered.mapInArrow(_merge_scan(self.gram), _ARRAY)
+        if last and self.store is None:
+            return scanned.where("match").select("key")
+        scanned = stage(scanned, "zstd")
+        level = scanned.where("merged > 0").select("prefix", F.col("merged").alias("copies"))
+        if self.store is not None:
+            gone = [f"level_{n}" for n, _ in popped]
+            self.store.commit(replace={f"level_{size}": level}, append=append, drop=gone)
+            level = self.store.read(f"level_{size}")
+        self.levels.append((size, level))
+        return scanned.where("match").select("key")
 
 
 def _counted(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -248,7 +331,18 @@ def _stretches(length: int, stretch: int):
     return run
 
 
-def _removed(length: int, with_text: bool):
+def _long_runs(chunk: Chunk, gone: np.ndarray, min_words: int) -> np.ndarray:
+    """``gone`` without the runs that touch fewer than ``min_words`` words."""
+    low, high, _ = spans(chunk, gone)
+    begin, end, _ = words(chunk)
+    touched = np.searchsorted(begin, high, side="left") - np.searchsorted(end, low, side="right")
+    steps = np.zeros(len(gone) + 1, dtype=np.int64)
+    steps[low[touched >= min_words]] += 1
+    steps[high[touched >= min_words]] -= 1
+    return np.cumsum(steps[:-1]) > 0
+
+
+def _removed(length: int, with_text: bool, min_words: int = 0):
     """Cut the spans out of each text: counts, digest and, if wanted, what is left of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,6 +360,8 @@ def _removed(length: int, with_text: bool):
                 np.add.at(steps, low, 1)
                 np.add.at(steps, low + windows[at] + length - 1, -1)
                 gone = np.cumsum(steps[:-1]) > 0
+                if min_words:
+                    gone = _long_runs(chunk, gone, min_words)
                 _, _, owner = spans(chunk, gone)
                 runs = np.bincount(owner, minlength=len(rows))
                 left = np.concatenate([[0], np.cumsum(~gone)])[chunk.offsets]
@@ -289,37 +385,25 @@ def _removed(length: int, with_text: bool):
     return run
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with the names of a row: its id (or a stand-in) and a hash of its text."""
-    return docs.withColumns(
+def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with numbered columns and the names of a row (its id or a stand-in, a hash of its text); the texts by name."""
+    at = {c: str(docs.columns.index(c)) for c in ("doc_id", "text")}
+    rows = numbered(docs).withColumns(
         {
-            "_id": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")),
-            "_key": F.hash("text", F.col("doc_id").isNull()),
+            "_id": F.coalesce(F.col(at["doc_id"]).cast("long"), F.xxhash64(at["text"])),
+            "_key": F.hash(at["text"], F.col(at["doc_id"]).isNull()),
         }
     )
+    return rows, rows.select(F.col("_id").alias("doc_id"), F.col("_key").alias("text_key"), F.col(at["text"]).alias("text"))
 
 
-def repeated_spans(
-    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batches: int = BATCHES, stretch: int = STRETCH
-) -> DataFrame:
-    """``(doc_id, text_key, text, spans)`` of the texts with windows that also start elsewhere.
-
-    ``spans`` lists runs of such windows as (first, windows); they may overlap.
-    """
+def _check(length: int, gram: int, stretch: int) -> None:
     if not 8 <= gram <= length - stretch or length - stretch < 8:
         raise ValueError("gram must be 8 bytes or more and shorter than length by the stretch")
-    texts = docs.select("doc_id", "text_key", "text")
-    suffixes = stage(texts.where(F.octet_length("text") >= length).mapInArrow(_suffixes(length, gram), _SUFFIX_TYPE))
-    family = SuffixIndexFamily()
-    batch = F.pmod(F.hash("doc_id", "text_key"), F.lit(batches))
-    matches = [family.add(suffixes.where(batch == n)) for n in range(batches)]
-    found = matches[0]
-    for more in matches[1:]:
-        found = found.union(more)
-    rows = stage(suffixes.join(stage(found.distinct()), "key", "left_semi"))
-    names = rows.select("doc_id", "text_key").distinct()
-    texts = stage(texts.join(names, ["doc_id", "text_key"], "left_semi").dropDuplicates(["doc_id", "text_key"]))
 
+
+def _repeated_windows(rows: DataFrame, texts: DataFrame, length: int, stretch: int) -> DataFrame:
+    """``(doc_id, text_key, first, windows)``: of candidate suffixes, the runs of windows that occur twice."""
     spans_: DataFrame | None = None
     for step in (stretch, 1, None):
         groups, mixed = _counted(rows)
@@ -329,36 +413,99 @@ def repeated_spans(
         if step is None:
             break
         wanted = F.struct("first", "windows", "shift", "key")
+        # a common passage has many shapes under one key: they are dealt to several tasks
+        spread = mixed.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+        dealt = groups.withColumn("_part", F.pmod(F.hash("whole"), F.lit(SPREAD)))
         asked = (
-            groups.join(mixed, "key", "left_semi")
+            dealt.join(spread, ["key", "_part"], "left_semi")
             .groupBy("doc_id", "text_key")
             .agg(F.collect_list(wanted).alias("asked"))
         )
         rows = stage(
             texts.join(asked, ["doc_id", "text_key"]).mapInArrow(_stretches(length, step), _SUFFIX_TYPE)
         )
-    return texts.join(
-        spans_.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("first", "windows")).alias("spans")),
-        ["doc_id", "text_key"],
-    )
+    return spans_
 
 
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, **options) -> DataFrame:
-    """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` per row of ``docs``.
+def _in_texts(texts: DataFrame, windows: DataFrame) -> DataFrame:
+    spans_ = windows.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("first", "windows")).alias("spans"))
+    return texts.join(spans_, ["doc_id", "text_key"])
 
-    Every byte covered by a ``length``-byte string that also starts anywhere else in
-    the table, the same text included, is removed; strings are judged on the input.
-    Null counts as the empty text. Rows that repeat are documents of their own, so
-    each repeats the other. Other columns are not read; an empty table gives no rows.
+
+@shipped
+def repeated_spans(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batches: int = BATCHES, stretch: int = STRETCH
+) -> DataFrame:
+    """``(doc_id, text_key, text, spans)`` of the texts with windows that also start elsewhere.
+
+    ``spans`` lists runs of such windows as (first, windows); they may overlap.
     """
-    rows = _keyed(docs)
-    cut = repeated_spans(_named(rows), length, **options).mapInArrow(
-        _removed(length, False), f"{_CUT_TYPE}, kept_sha256 string"
-    )
+    _check(length, gram, stretch)
+    texts = docs.select("doc_id", "text_key", "text")
+    long_enough = texts.where(F.octet_length("text") >= length)
+    family = SuffixIndexFamily(length, gram)
+    batch = F.pmod(F.hash("doc_id", "text_key"), F.lit(batches))
+    matches = [family.add(long_enough.where(batch == n), last=n == batches - 1) for n in range(batches)]
+    found = matches[0]
+    for more in matches[1:]:
+        found = found.union(more)
+    # places are found again rather than kept for all suffixes: only those that match are written
+    suffixes = long_enough.mapInArrow(_suffixes(length, gram), _SUFFIX_TYPE)
+    rows = stage(suffixes.join(stage(found.distinct()), "key", "left_semi"))
+    names = rows.select("doc_id", "text_key").distinct()
+    texts = stage(texts.join(names, ["doc_id", "text_key"], "left_semi").dropDuplicates(["doc_id", "text_key"]))
+    return _in_texts(texts, _repeated_windows(rows, texts, length, stretch))
+
+
+class DedupIndex:
+    """Suffix arrays, suffix places and texts of all batches so far, under one path.
+
+    A batch is compared with itself and with everything before it; the levels are read and merged,
+    earlier batches are not indexed again. Earlier batches' own results stay as they were given.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, length: int = LENGTH, gram: int = GRAM, stretch: int = STRETCH
+    ) -> None:
+        _check(length, gram, stretch)
+        ship(spark)
+        self.store = VersionedTable(spark, path)
+        self.length, self.gram, self.stretch = length, gram, stretch
+
+    @property
+    def levels(self) -> list[int]:
+        """Sizes of the stored levels in batches, the largest first."""
+        return [size for size, _ in SuffixIndexFamily(self.length, self.gram, self.store).levels]
+
+    def add(self, docs: DataFrame, min_words: int = 0) -> DataFrame:
+        """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` of a batch against all batches so far, its own included.
+
+        Ids must be new: a text with the id and text of an earlier row is taken for that row.
+        """
+        rows, texts = _keyed(docs)
+        fresh = stage(texts.where(F.octet_length("text") >= self.length))
+        places = stage(fresh.mapInArrow(_suffixes(self.length, self.gram), _SUFFIX_TYPE))
+        family = SuffixIndexFamily(self.length, self.gram, self.store)
+        found = stage(family.add(fresh, append={"suffixes": places, "texts": fresh}).distinct())
+        known, all_texts = self.store.read("suffixes"), self.store.read("texts")
+        candidates = stage(known.join(found, "key", "left_semi"))
+        names = candidates.select("doc_id", "text_key").distinct()
+        held = stage(all_texts.join(names, ["doc_id", "text_key"], "left_semi").dropDuplicates(["doc_id", "text_key"]))
+        windows = _repeated_windows(candidates, held, self.length, self.stretch)
+        own = held.join(fresh.select("doc_id", "text_key").distinct(), ["doc_id", "text_key"], "left_semi")
+        return _digested(docs, rows, _in_texts(own, windows).mapInArrow(_removed(self.length, False, min_words), f"{_CUT_TYPE}, kept_sha256 string"))
+
+
+def _digested(docs: DataFrame, rows: DataFrame, cut: DataFrame) -> DataFrame:
     cut = cut.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
-    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    at = {c: str(docs.columns.index(c)) for c in ("doc_id", "text")}
+    text = F.coalesce(F.col(at["text"]), F.lit("")).cast("binary")
     plain = rows.select(
-        "doc_id", "_id", "_key", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("_sha")
+        F.col(at["doc_id"]).alias("doc_id"),
+        "_id",
+        "_key",
+        F.octet_length(text).cast("long").alias("n_bytes"),
+        F.sha2(text, 256).alias("_sha"),
     )
     return plain.join(cut, ["_id", "_key"], "left").select(
         "doc_id",
@@ -372,24 +519,43 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, **options) -> DataFrame:
 _CUT_TYPE = "doc_id long, text_key int, n_removed long, n_spans long"
 
 
-def _named(rows: DataFrame) -> DataFrame:
-    return rows.select(F.col("_id").alias("doc_id"), F.col("_key").alias("text_key"), "text")
+@shipped
+def suffix_dedup(docs: DataFrame, length: int = LENGTH, min_words: int = 0, **options) -> DataFrame:
+    """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` per row of ``docs``.
+
+    Every byte covered by a ``length``-byte string that also starts anywhere else in
+    the table, the same text included, is removed; strings are judged on the input. With
+    ``min_words`` maximal runs of such bytes that touch fewer words (runs of bytes other
+    than white space) stay. Null counts as the empty text. Rows that repeat are documents of their own, so
+    each repeats the other. Other columns are not read; an empty table gives no rows.
+    """
+    rows, texts = _keyed(docs)
+    cut = repeated_spans(texts, length, **options).mapInArrow(
+        _removed(length, False, min_words), f"{_CUT_TYPE}, kept_sha256 string"
+    )
+    return _digested(docs, rows, cut)
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, **options) -> DataFrame:
+@shipped
+def without_repeats(docs: DataFrame, length: int = LENGTH, min_words: int = 0, **options) -> DataFrame:
     """``docs`` with the repeated bytes cut out of ``text`` and ``n_chars`` counted anew.
 
-    No row goes: a text may end up empty. Where a cut falls inside a character the
-    rest of the character goes too.
+    What is cut is what ``suffix_dedup`` removes. No row goes: a text may end up empty, a null text stays. Where a cut
+    falls inside a character the rest of the character goes too. Rows that repeat are cut alike; a null id
+    is no obstacle; all other columns, whatever their names, are kept as they are; an empty table stays empty.
     """
-    rows = _keyed(docs)
-    cut = repeated_spans(_named(rows), length, **options).mapInArrow(
-        _removed(length, True), f"{_CUT_TYPE}, kept_sha256 string, kept string"
+    rows, texts = _keyed(docs)
+    cut = repeated_spans(texts, length, **options).mapInArrow(
+        _removed(length, True, min_words), f"{_CUT_TYPE}, kept_sha256 string, kept string"
     )
     cut = stage(cut.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "kept"))
-    changed = F.when(F.col("kept").isNotNull(), F.col("kept")).otherwise(F.col("text"))
-    out = rows.join(cut, ["_id", "_key"], "left").withColumn("text", changed)
+    out = rows.join(cut, ["_id", "_key"], "left")
+    found = F.col("kept").isNotNull()
+    columns = [F.col(str(n)) for n in range(len(docs.columns))]
+    text = docs.columns.index("text")
+    columns[text] = F.when(found, F.col("kept")).otherwise(columns[text])
     if "n_chars" in docs.columns:
-        length_now = F.length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("kept").isNotNull(), length_now).otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        chars = docs.columns.index("n_chars")
+        now = F.length("kept").cast(docs.schema["n_chars"].dataType)
+        columns[chars] = F.when(found, now).otherwise(columns[chars])
+    return out.select(*[c.alias(str(n)) for n, c in enumerate(columns)]).toDF(*docs.columns)

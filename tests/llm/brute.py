@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -23,7 +24,7 @@ def clashing(df):
     """The same rows with extra columns named like those the operators use inside."""
     from pyspark.sql import functions as F
 
-    names = ["id", "key", "list", "fp", "_id", "_key", "_n", "copies", "spans", "text_key", "size", "hash", "vector", "a.b"]
+    names = ["score", "__toxicity", "0", "kept", "prefix", "text_id", "ranks", "id", "key", "list", "fp", "_null", "_id", "_key", "_n", "copies", "spans", "text_key", "size", "hash", "vector", "a.b"]
     return df.withColumns({n: F.lit("x") for n in names})
 
 
@@ -68,7 +69,7 @@ def simhash_rows(rows):
     return sorted((i, f"{prints[i]:016x}", near[i]) for i in prints)
 
 
-def suffix_rows(rows, length=400):
+def suffix_rows(rows, length=400, min_words=0):
     seen = Counter()
     texts = [(i, (t or "").encode()) for i, t in rows]
     for _, b in texts:
@@ -79,6 +80,10 @@ def suffix_rows(rows, length=400):
         for p in range(len(b) - length + 1):
             if seen[hash(b[p : p + length])] > 1:
                 gone[p : p + length] = True
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(int)))
+        for low, high in zip(edges[::2], edges[1::2]):
+            if len(re.findall(rb"[^\x20\x09-\x0D]+", b[low:high])) < min_words:
+                gone[low:high] = False
         kept = np.frombuffer(b, dtype=np.uint8)[~gone].tobytes()
         spans = int((np.diff(np.concatenate([[False], gone]).astype(int)) == 1).sum())
         out.append((i, len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
@@ -118,8 +123,42 @@ def shard_rows(rows, shards=8):
     return sorted(out)
 
 
+def token(t):
+    return re.findall(r"[0-9a-z\x80-\U0010ffff]+", (t or "").lower())
+
+
+def leak_details(rows, items, pairs, size=5):
+    """Score and overlaps of the best passage of each leaking pair."""
+    known = {i: (t, token(t)) for i, t in items if token(t)}
+    # as a table without repeats
+    texts = [token(t) for _, t in {(i, t) for i, t in items} if token(t)]
+    average, longest = sum(map(len, texts)) / len(texts), max(map(len, texts))
+    df = Counter(w for t in texts for w in set(t))
+    wide, of, out = max(256, 2 * longest), dict(rows), []
+    for doc, item in pairs:
+        from tapeloom.llm.decontaminate import split_item
+
+        text, w = known[item]
+        n = min(size, len(w))
+        wanted = [tuple(w[k : k + n]) for k in range(len(w) - n + 1)]
+        cut = max(0, min(len(token(split_item(text)[0])) - n + 1, len(wanted)))
+        tf, words, best = Counter(w), token(of[doc]), None
+        for k in range(0, max(1, len(words) - wide // 2), wide // 2):
+            part = words[k : k + wide]
+            have = {tuple(part[j : j + n]) for j in range(len(part) - n + 1)}
+            found = [s in have for s in wanted]
+            score = sum(
+                math.log(1 + (len(texts) - df[x] + 0.5) / (df[x] + 0.5)) * c * 2.2 / (c + 1.2 * (0.25 + 0.75 * len(w) / average))
+                for x, c in tf.items() if x in set(part)
+            )
+            mean = lambda x: sum(x) / len(x) if x else None
+            row = (mean(found), score, mean(found[:cut]), mean(found[cut:]))
+            best = max(best or row, row, key=lambda r: tuple(-1 if v is None else v for v in r))
+        out.append((doc, item, best[1], best[0], best[2], best[3]))
+    return out
+
+
 def leak_rows(rows, items, size=5, share=0.8):
-    token = lambda t: re.findall(r"[0-9a-z\x80-\U0010ffff]+", (t or "").lower())
     longest = max([len(token(t)) for _, t in items] or [0])
     wide = max(256, 2 * longest)
     out = set()

@@ -5,14 +5,16 @@ import os
 import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
 from brute import ascii_words, clashing, documents, tuples
 from test_dedup import ODD, REAL, prose, sample
+from tapeloom.llm import language_model
 from tapeloom.llm import toxicity as tox
 from tapeloom.llm.language import languages, temperature
-from tapeloom.llm.language_model import score_texts
+from tapeloom.llm.language_model import OWN, score_texts
 from tapeloom.llm.toxicity import CharacterModel, toxicity, without_toxic
 
 SF = "/root/testdata/sf0.01"
@@ -63,6 +65,54 @@ def test_probabilities_of_different_texts_stay_below_one(spark):
     assert 0.05 < sum(10 ** got[i] for i, _ in one) < 1
 
 
+@pytest.mark.parametrize("partitions", [1, 7, 16])
+def test_scores_do_not_depend_on_partitions(spark, partitions):
+    docs = documents(spark, list(enumerate(sample() * 3)) + [(None, "a b c"), (None, "a b c")])
+    # several shards
+    want = tuples(score_texts(docs.coalesce(2), shard_tokens=400), "doc_id", "score")
+    got = tuples(score_texts(docs.repartition(partitions), shard_tokens=400), "doc_id", "score")
+    assert [g[0] for g in got] == [w[0] for w in want]
+    assert all(math.isclose(g[1], w[1], rel_tol=1e-9) for g, w in zip(got, want))
+
+
+def test_word_probabilities_add_up():
+    random = np.random.default_rng(1)
+    counts = np.sort(random.integers(1, 5000, 700))[::-1].astype(float)
+    class_of = language_model.class_of_ranks(counts)
+    assert (np.diff(class_of[:700]) >= 0).all() and class_of[700:].tolist() == [language_model.OTHER] * (len(class_of) - 700)
+    head = language_model.Head(None, None, None, counts, class_of, 1, int(counts.sum()), 700, 0, 0)
+    words = language_model.Words.start(head)
+    q = random.normal(size=(3, language_model.DIMENSION))
+    at = random.integers(0, len(words.bias), 4000)
+    kind = class_of[OWN + at].astype(int) - OWN
+    seen = words.train(random.normal(size=(4000, language_model.DIMENSION)), at, kind, np.ones(4000))
+    assert seen.sum() == 4000 and np.abs(words.vectors).max() > 0
+    s, z = q @ words.vectors.T + words.bias, words.normalisers(q)
+    for c in range(language_model.BINS):
+        low, high = words.first[c], words.first[c + 1]
+        if high > low:
+            assert np.allclose(np.log(np.exp(s[:, low:high]).sum(axis=1)), z[:, c], atol=1e-5)
+
+
+def test_words_in_a_class_follow_their_context():
+    """Two contexts, each with its own words: the learned shares come near the true ones."""
+    counts = np.concatenate([np.full(OWN, 1000.0), np.full(40, 50.0)])
+    head = language_model.Head(None, None, None, counts, language_model.class_of_ranks(counts), 1, 1, 1, 0, 0)
+    words = language_model.Words.start(head)
+    words.first = np.concatenate([[0], np.full(language_model.BINS, 40)])
+    words.log_share = np.full(40, -np.log(40))
+    words.bias = words.log_share.copy()
+    random = np.random.default_rng(1)
+    side = random.integers(0, 2, 60_000)
+    q = np.zeros((60_000, language_model.DIMENSION))
+    q[:, 0] = 2 * side - 1
+    words.train(q, random.integers(0, 20, 60_000) + 20 * side, np.zeros(60_000, int), np.ones(60_000))
+    p = np.exp(q[:2, :1] * words.vectors[:, 0] + words.bias)
+    p /= p.sum(axis=1, keepdims=True)
+    for k in range(2):
+        assert p[k, 20 * side[k] : 20 * side[k] + 20].sum() > 0.9
+
+
 @REAL
 def test_model_beats_counts_on_held_out_texts(spark):
     rows = score_texts(spark.read.parquet(f"{SF}/documents.parquet")).where("held_out").collect()
@@ -96,6 +146,70 @@ def test_deobfuscation(characters, written, meant):
     assert chunk.text(0).decode() == f"before {meant} after"
 
 
+def cheapest_reading(model, stretch):
+    """Least (cost, reading) over every way to read a stretch, one by one."""
+    best = []
+
+    def read(at, a, b, last, total, text):
+        if at == len(stretch):
+            best.append((total + model.cost[a, b, 0], text))
+            return
+        c = stretch[at].lower()
+        step = lambda s: total + model.cost[a, b, s]
+        if c in tox._SYMBOL:
+            read(at + 1, b, tox._SYMBOL[c], c, step(tox._SYMBOL[c]), text + c)
+            if c == last:
+                read(at + 1, a, b, c, total + tox.SQUEEZE, text)
+        for letter in tox.LEET.get(c, ""):
+            s = tox._SYMBOL[letter]
+            read(at + 1, b, s, letter, step(s) + tox.IMITATE, text + letter)
+            if letter == last:
+                read(at + 1, a, b, letter, total + tox.IMITATE + tox.SQUEEZE, text)
+        if c in tox.SEPARATORS:
+            read(at + 1, a, b, "", total + tox.DROP, text)
+            if b:
+                read(at + 1, b, 0, "", step(0), text + " ")
+        elif c not in tox._SYMBOL:
+            read(at + 1, b, 0, "", step(0) + tox.KEEP_SYMBOL, text + c)
+
+    read(0, 0, 0, "", 0.0, "")
+    return min(best)
+
+
+def test_viterbi_equals_all_readings(characters):
+    import random
+
+    draw = random.Random(4)
+    for _ in range(150):
+        stretch = "".join(draw.choice("1d0it $m.r-o3s@ll") for _ in range(draw.randint(1, 7)))
+        cost, text = cheapest_reading(characters, stretch)
+        found = characters._restore(stretch)
+        again = [c for c, t in [cheapest_reading(characters, stretch)] if t == found]
+        assert found == text or not again, (stretch, found, text)
+
+
+def test_long_stretches_are_restored(characters):
+    word = "l0s3r" * 12
+    assert len(word) == 60 and characters.deobfuscate(f"a {word} b") == f"a {'loser' * 12} b"
+    long = "m0r0n" * 40_000
+    assert characters.deobfuscate(long) == "moron" * 40_000
+
+
+def test_trigrams_stay_inside_texts():
+    def counted(texts):
+        (found,) = tox._trigrams([pa.record_batch({"text": pa.array(texts)})])
+        return dict(zip(found.column("trigram").to_pylist(), found.column("count").to_pylist()))
+
+    one, two = counted(["abc"]), counted(["Œuf"])
+    both = counted(["abc", "Œuf"])
+    zero = 0
+    assert {k: v for k, v in both.items() if k != zero} == {
+        k: one.get(k, 0) + two.get(k, 0) for k in {*one, *two} if k != zero
+    }
+    oe = tox._SYMBOL["œ"]
+    assert (0 * tox.SYMBOLS + 0) * tox.SYMBOLS + oe in two
+
+
 def test_restoring_many_texts_keeps_them_apart(characters):
     texts = ["", None, "1d10t", "ok", "x" * 5000, "i d i o t", " ", "end 1d10t", "é é é é", "aaa " * 300]
     got = [c.text(i).decode() for c in tox._restored(pa.array(texts), characters) for i in range(len(c.lengths))]
@@ -132,6 +246,10 @@ def test_toxicity(spark):
     assert got[1000].predicted == got[1001].predicted == 1
     assert got[1002].predicted == got[1003].predicted == got[1004].predicted == 0
     assert all(r.held_out == (fold(i, 4) == 2) for i, r in got.items())
+    odd = clashing(documents(spark, rows[:40]))
+    first = odd.select("__toxicity", "score", *[f"`{c}`" for c in odd.columns if c not in ("__toxicity", "score")])
+    some = without_toxic(first, table)
+    assert some.columns == first.columns and {r["__toxicity"] for r in some.collect()} == {"x"}
     kept = without_toxic(documents(spark, rows + extra), table)
     assert {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if not r.predicted}
     assert kept.columns == documents(spark, []).columns

@@ -35,7 +35,8 @@ def test_stages_one_by_one(spark):
     groups = simhash_rows(before["simhash"])
     assert sorted(i for i, _ in before["suffix_array"]) == [i for i, _, c in groups if i == c]
 
-    cut = {i: n for i, _, n, _, _ in suffix_rows(before["suffix_array"])}
+    size, least = pipeline.PASSAGE_BYTES, pipeline.PASSAGE_WORDS
+    cut = {i: n for i, _, n, _, _ in suffix_rows(before["suffix_array"], size, least)}
     texts = dict(before["suffix_array"])
     for i, t in before["decontamination"]:
         if not cut[i]:

@@ -101,6 +101,27 @@ def test_unigram_models_are_rebuilt():
     assert tokenizer.encode(" ab").ids == [3] and tokenizer.encode(" abb").ids == [3, 2]
 
 
+def test_a_wrong_rebuild_is_told(reference):
+    """Ids are those of the rebuilt tokenizer, so a rebuild with a piece missing shows in ids and parity."""
+    from tapeloom.llm import sentencepiece as module
+
+    content = open(MODEL, "rb").read()
+    good, bad = Codec(content), Codec(content)
+    lacking = parse_model(content)
+    kept = [m for m in module._merges(lacking) if "".join(m) != "▁the"]
+    real, module._merges = module._merges, lambda model: kept
+    try:
+        bad.tokenizer = module.build_tokenizer(lacking)
+    finally:
+        module._merges = real
+    texts = pa.array(["the end", "no such piece", ""])
+    (ids, count, parity, round_trip), = encode_texts(good, texts)
+    assert parity.all() and round_trip.all() and ids.tolist() == sum(reference.encode(texts.to_pylist()), [])
+    (ids, count, parity, round_trip), = encode_texts(bad, texts)
+    assert parity.tolist() == [False, True, True] and round_trip.all()
+    assert ids[: count[0]].tolist() != reference.encode("the end")
+
+
 def test_remembered_units_do_not_change_results(monkeypatch):
     from tapeloom.llm import sentencepiece as module
 
