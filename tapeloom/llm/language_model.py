@@ -374,10 +374,10 @@ class Words:
         log_share = np.log(counts) - np.log(np.maximum(np.bincount(classes, counts, minlength=1), 0.5))[classes]
         return cls(np.zeros((len(counts), DIMENSION)), log_share.copy(), log_share, first)
 
-    def train(self, q: np.ndarray, word: np.ndarray, kind: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """Noise-contrastive steps over tokens with predictions ``q``; returns the weight of tokens of each word.
+    def train(self, predicted, word: np.ndarray, kind: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Noise-contrastive steps over tokens; returns the weight of tokens of each word.
 
-        Step sizes adapt by word. Noise words are drawn from the shares of the token's class.
+        ``predicted`` gives the predictions of some tokens by their numbers. Step sizes adapt by word. Noise words are drawn from the shares of the token's class.
         """
         random = np.random.default_rng(SEED)
         ends = np.cumsum(np.exp(self.log_share))
@@ -389,15 +389,15 @@ class Words:
             c = kind[at]
             draw = begin[c][:, None] + random.random((len(at), WORD_NOISE)) * (begin[c + 1] - begin[c])[:, None]
             noise = np.clip(np.searchsorted(ends, draw), self.first[c][:, None], self.first[c + 1][:, None] - 1)
-            ids = np.concatenate([word[at][:, None], noise], axis=1)
-            s = np.einsum("bd,bkd->bk", q[at], self.vectors[ids]) + self.bias[ids]
+            ids, q = np.concatenate([word[at][:, None], noise], axis=1), predicted(at)
+            s = np.einsum("bd,bkd->bk", q, self.vectors[ids]) + self.bias[ids]
             push = -_sigmoid(s - self.log_share[ids] - np.log(WORD_NOISE))
             push[:, 0] += 1
             push *= np.minimum(weight[at], 16.0)[:, None]
             flat, push = ids.ravel(), push.ravel()
             np.add.at(spent, flat, push * push)
             step = WORD_RATE * push / np.sqrt(spent[flat])
-            np.add.at(self.vectors, flat, step[:, None] * np.repeat(q[at], 1 + WORD_NOISE, axis=0))
+            np.add.at(self.vectors, flat, step[:, None] * np.repeat(q, 1 + WORD_NOISE, axis=0))
             np.add.at(self.bias, flat, 0.1 * step)
         return seen
 
@@ -430,14 +430,33 @@ def _sharded(ranks: DataFrame, shards: int) -> DataFrame:
     return stage(dealt.repartition(shards, "shard").sortWithinPartitions("shard", "ranks"))
 
 
-def _shards(batches: Iterator[pa.RecordBatch], class_of: np.ndarray) -> Iterator[tuple[int, Tokens, np.ndarray]]:
-    """Each shard's tokens and their weights, in order."""
-    held: list[tuple[Tokens, np.ndarray]] = []
+@dataclass
+class Shard:
+    """Tokens of a shard in narrow types (12 bytes a token), with the copies of their texts."""
+
+    far: np.ndarray
+    near: np.ndarray
+    kind: np.ndarray
+    rank: np.ndarray
+    weight: np.ndarray
+
+    def trigrams(self) -> tuple[np.ndarray, ...]:
+        """Different class trigrams (far, near, class) and their weights."""
+        code = (self.far.astype(np.int32) * (CLASSES + 1) + self.near) * CLASSES + self.kind
+        order = np.argsort(code, kind="stable")
+        code, weight = code[order], self.weight[order].astype(np.float64)
+        new = np.flatnonzero(np.diff(code, prepend=-1))
+        rest, kind = np.divmod(code[new].astype(np.int64), CLASSES)
+        return (*np.divmod(rest, CLASSES + 1), kind, np.add.reduceat(weight, new))
+
+
+def _shards(batches: Iterator[pa.RecordBatch], class_of: np.ndarray) -> Iterator[tuple[int, Shard]]:
+    """Each shard with its tokens in order."""
+    held: list[tuple[np.ndarray, ...]] = []
     name = None
 
     def joined():
-        parts = [np.concatenate([getattr(h[0], f) for h in held]) for f in ("far", "near", "kind", "rank", "text")]
-        return name, Tokens(*parts), np.concatenate([h[1] for h in held])
+        return name, Shard(*[np.concatenate(parts) for parts in zip(*held)])
 
     for batch in batches:
         shard = batch.column("shard").to_numpy()
@@ -450,8 +469,9 @@ def _shards(batches: Iterator[pa.RecordBatch], class_of: np.ndarray) -> Iterator
             part = batch.slice(low, high - low)
             for first, texts in _slices(part.column("ranks")):
                 found = tokens_of(texts, class_of)
-                copies = part.column("copies").slice(first, len(texts)).to_numpy().astype(np.float64)
-                held.append((found, copies[found.text]))
+                copies = part.column("copies").slice(first, len(texts)).to_numpy().astype(np.float32)
+                narrow = [a.astype(np.int16) for a in (found.far, found.near, found.kind)]
+                held.append((*narrow, found.rank.astype(np.uint16), copies[found.text]))
     if held:
         yield joined()
 
@@ -460,15 +480,14 @@ def _class_round(shared, unigram: np.ndarray, class_of):
     """Train the classes on every shard from the shared parameters; parameters weighted by tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, tokens, weight in _shards(batches, class_of.value):
+        for _, shard in _shards(batches, class_of.value):
             model = shared.value.copy()
-            code, place = np.unique(tokens.context * CLASSES + tokens.kind, return_inverse=True)
-            rest, kind = np.divmod(code, CLASSES)
-            far, near = np.divmod(rest, CLASSES + 1)
-            model.train(far, near, kind, np.bincount(place, weight), unigram)
-            value = model.flat() * weight.sum()
+            far, near, kind, weight = shard.trigrams()
+            tokens = weight.sum()
+            model.train(far, near, kind, weight, unigram)
+            value = model.flat() * tokens
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(value))), pa.array(value), pa.array(np.full(len(value), weight.sum()))],
+                [pa.array(np.arange(len(value))), pa.array(value), pa.array(np.full(len(value), tokens))],
                 ["place", "value", "tokens"],
             )
 
@@ -483,16 +502,17 @@ def _word_round(shared, class_of):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, start = shared.value
-        for shard, tokens, weight in _shards(batches, class_of.value):
-            at = np.flatnonzero((tokens.kind >= OWN) & (tokens.kind < OTHER))
+        far_part, near_part = model.context @ model.far, model.context @ model.near
+        for name, shard in _shards(batches, class_of.value):
+            at = np.flatnonzero((shard.kind >= OWN) & (shard.kind < OTHER)).astype(np.int32)
             words = Words(start.vectors.copy(), start.bias.copy(), start.log_share, start.first)
-            q = model.predicted(tokens.far[at], tokens.near[at])
-            seen = words.train(q, tokens.rank[at] - OWN, tokens.kind[at] - OWN, weight[at])
+            predicted = lambda n: far_part[shard.far[at[n]]] + near_part[shard.near[at[n]]]
+            seen = words.train(predicted, shard.rank[at].astype(np.int32) - OWN, shard.kind[at] - OWN, shard.weight[at])
             rows = np.concatenate([words.vectors * seen[:, None], (words.bias * seen)[:, None], seen[:, None]], axis=1)
             blocks = [rows[a : a + BLOCK_WORDS].tobytes() for a in range(0, len(rows), BLOCK_WORDS)]
             n = np.arange(len(blocks), dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(n), pa.array(np.full(len(n), shard % 64, dtype=np.int32)), pa.array(blocks, pa.binary())],
+                [pa.array(n), pa.array(np.full(len(n), name % 64, dtype=np.int32)), pa.array(blocks, pa.binary())],
                 ["block", "part", "numbers"],
             )
 

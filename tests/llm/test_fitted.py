@@ -85,7 +85,8 @@ def test_word_probabilities_add_up():
     q = random.normal(size=(3, language_model.DIMENSION))
     at = random.integers(0, len(words.bias), 4000)
     kind = class_of[OWN + at].astype(int) - OWN
-    seen = words.train(random.normal(size=(4000, language_model.DIMENSION)), at, kind, np.ones(4000))
+    given = random.normal(size=(4000, language_model.DIMENSION))
+    seen = words.train(lambda n: given[n], at, kind, np.ones(4000))
     assert seen.sum() == 4000 and np.abs(words.vectors).max() > 0
     s, z = q @ words.vectors.T + words.bias, words.normalisers(q)
     for c in range(language_model.BINS):
@@ -106,7 +107,7 @@ def test_words_in_a_class_follow_their_context():
     side = random.integers(0, 2, 60_000)
     q = np.zeros((60_000, language_model.DIMENSION))
     q[:, 0] = 2 * side - 1
-    words.train(q, random.integers(0, 20, 60_000) + 20 * side, np.zeros(60_000, int), np.ones(60_000))
+    words.train(lambda n: q[n], random.integers(0, 20, 60_000) + 20 * side, np.zeros(60_000, int), np.ones(60_000))
     p = np.exp(q[:2, :1] * words.vectors[:, 0] + words.bias)
     p /= p.sum(axis=1, keepdims=True)
     for k in range(2):
