@@ -108,22 +108,29 @@ def _silhouettes(rows: DataFrame, sets: Mapping[int, Centres], values: Sequence[
     clusters: dict[int, list] = {k: [] for k in sets}
     for r in found.orderBy("k", "cluster").collect():
         clusters[r["k"]].append(r)
-    scores = {}
-    for k, centres in sets.items():
-        if len(clusters[k]) < 2:
-            continue
-        own = _nearest(values, centres)
-        apart = {}
-        for r in clusters[k]:
+    scored = {k: clusters[k] for k in sets if len(clusters[k]) > 1}
+    if not scored:
+        return dict.fromkeys(sets)
+    # a column of its own: each row's cluster is found once, not once for every use
+    placed = rows.withColumns({f"own{k}": _nearest(values, sets[k]) for k in scored}).withColumn("norm", norm)
+    means = {}
+    for k, found in scored.items():
+        own = F.col(f"own{k}")
+        inside, outside, alone = F.lit(None), [], F.lit(False)
+        for r in found:
             dot = sum((v * F.lit(r[f"s{i}"]) for i, v in enumerate(values)), F.lit(0.0))
-            apart[r["cluster"]] = norm * r["n"] + F.lit(r["squares"]) - 2 * dot
-        # to the other members of the own cluster, and to the nearest other cluster
-        inside = F.coalesce(*[F.when(own == r["cluster"], apart[r["cluster"]] / max(r["n"] - 1, 1)) for r in clusters[k]])
-        outside = F.least(*[F.when(own != r["cluster"], apart[r["cluster"]] / r["n"]) for r in clusters[k]], F.lit(None))
-        alone = F.coalesce(*[F.when(own == r["cluster"], F.lit(r["n"] == 1)) for r in clusters[k]])
-        scores[k] = F.avg(F.when(alone, 0.0).otherwise((outside - inside) / F.greatest(outside, inside))).alias(f"k{k}")
-    means = rows.agg(*scores.values()).first() if scores else None
-    return {k: means[f"k{k}"] if k in scores else None for k in sets}
+            apart = F.col("norm") * r["n"] + F.lit(r["squares"]) - 2 * dot
+            # to the other members of the own cluster, and to the nearest other cluster
+            inside = F.when(own == r["cluster"], apart / max(r["n"] - 1, 1)).otherwise(inside)
+            outside.append(F.when(own != r["cluster"], apart / r["n"]))
+            alone = F.when(own == r["cluster"], r["n"] == 1).otherwise(alone)
+        means |= {f"in{k}": inside, f"out{k}": F.array_min(F.array(*outside)), f"alone{k}": alone}
+    placed = placed.withColumns(means)
+    score = lambda k: F.when(F.col(f"alone{k}"), 0.0).otherwise(
+        (F.col(f"out{k}") - F.col(f"in{k}")) / F.greatest(f"out{k}", f"in{k}")
+    )
+    found = placed.agg(*[F.avg(score(k)).alias(f"k{k}") for k in scored]).first()
+    return {k: found[f"k{k}"] if k in scored else None for k in sets}
 
 
 def sweep(
