@@ -16,6 +16,8 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +32,9 @@ from tapeloom.llm.text import Chunk, chunks, hash_words, ragged
 MARK = "▁"
 THREADS = 2
 CHUNK_BYTES = 2 << 20
-# units encoded at a time, and units a worker remembers (a cache: results do not depend on it)
+# units encoded at a time, and units a worker remembers between chunks (a cache: results do not depend on it)
 BATCH_UNITS = 20_000
-REMEMBERED = 200_000
+REMEMBERED = 500_000
 
 # Kinds of pieces and models in the model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -142,6 +144,49 @@ def build_tokenizer(model: PieceModel):
     return tokenizer
 
 
+@dataclass
+class Units:
+    """Units in the order of their hashes: ids one after the other, flags, and in how many chunks each was met."""
+
+    names: np.ndarray
+    count: np.ndarray
+    differ: np.ndarray
+    broken: np.ndarray
+    met: np.ndarray
+    ids: np.ndarray
+
+    @classmethod
+    def none(cls) -> Units:
+        return cls(*[np.zeros(0, kind) for kind in (np.uint64, np.int32, bool, bool, np.int32, np.int32)])
+
+    @property
+    def begin(self) -> np.ndarray:
+        return np.cumsum(self.count, dtype=np.int64) - self.count
+
+    def take(self, at: np.ndarray) -> Units:
+        columns = [a[at] for a in (self.names, self.count, self.differ, self.broken, self.met)]
+        return Units(*columns, self.ids[ragged(self.begin[at], columns[1])])
+
+    def find(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of names, and which of them are there."""
+        if not len(self.names):
+            return np.zeros(len(names), np.int64), np.zeros(len(names), dtype=bool)
+        place = np.minimum(np.searchsorted(self.names, names), len(self.names) - 1)
+        return place, self.names[place] == names
+
+    def merged(self, more: Units) -> Units:
+        both = [np.concatenate([getattr(self, f), getattr(more, f)]) for f in self.__dataclass_fields__]
+        return Units(*both).take(np.argsort(both[0], kind="stable"))
+
+    def bounded(self, most: int) -> Units:
+        """Half of ``most`` units, those met in most chunks, if there are more than ``most``."""
+        if len(self.names) <= most:
+            return self
+        left = self.take(np.sort(np.argsort(-self.met, kind="stable")[: most // 2]))
+        left.met //= 2
+        return left
+
+
 class Codec:
     """Both libraries over one model, and the units a worker has seen."""
 
@@ -163,7 +208,7 @@ class Codec:
 
             steps += [normalizers.Replace(Regex(" {2,}"), " "), normalizers.Strip()]
         self.normalizer = normalizers.Sequence(steps) if steps else None
-        self.seen: dict[int, tuple[np.ndarray, bool, bool]] = {}
+        self.seen = Units.none()
 
     def normalized(self, texts: pa.Array) -> pa.Array:
         """Texts with the marker character as a space and the model's own normalisation."""
@@ -172,16 +217,24 @@ class Codec:
             return texts
         return pa.array([self.normalizer.normalize_str(t) for t in texts.to_pylist()], pa.large_string())
 
-    def learn(self, names: list[int], units: list[str]) -> None:
-        """Ids of units (each with its leading space), whether both libraries agree and it decodes to itself."""
+    def learn(self, names: np.ndarray, units: list[str]) -> Units:
+        """Ids of units (each with its leading space), whether the libraries differ and whether it decodes to something else."""
+        count, differ, broken, ids = [], [], [], []
         for low in range(0, len(units), BATCH_UNITS):
             part = units[low : low + BATCH_UNITS]
             encoded = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             decoded = self.tokenizer.decode_batch(encoded, skip_special_tokens=False)
             # SentencePiece adds the leading space itself, but not to nothing
             wanted = self.reference.encode([u[1:] for u in part], num_threads=THREADS)
-            for name, unit, ids, right, text in zip(names[low:], part, encoded, wanted, decoded):
-                self.seen[name] = (np.array(ids, dtype=np.int32), unit == " " or ids == right, text == unit)
+            same = np.fromiter(map(eq, encoded, wanted), bool, len(part))
+            differ.append(~(same | np.fromiter(map(" ".__eq__, part), bool, len(part))))
+            broken.append(~np.fromiter(map(eq, decoded, part), bool, len(part)))
+            count.append(np.fromiter(map(len, encoded), np.int32, len(part)))
+            ids.append(np.fromiter(chain.from_iterable(encoded), np.int32, int(count[-1].sum())))
+        if not units:
+            return Units.none()
+        count, differ, broken, ids = (np.concatenate(a) for a in (count, differ, broken, ids))
+        return Units(names, count, differ, broken, np.zeros(len(names), np.int32), ids)
 
 
 def _units(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -209,25 +262,30 @@ def _codec(content: bytes) -> Codec:
     return _codecs[content]
 
 
+def _strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[str]:
+    """Byte ranges as strings."""
+    size = ends - starts
+    cuts = pa.py_buffer(np.concatenate([[0], np.cumsum(size)]))
+    return pa.LargeStringArray.from_buffers(len(size), cuts, pa.py_buffer(data[ragged(starts, size)])).to_pylist()
+
+
 def encode_texts(codec: Codec, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Per chunk: flat ids, ids per text, parity and round trip per text."""
     for chunk in chunks(codec.normalized(texts), CHUNK_BYTES):
         data, starts, ends, owner = _units(chunk)
         names, first, place = np.unique(hash_words(data, starts, ends), return_index=True, return_inverse=True)
-        listed = names.tolist()
-        if len(codec.seen) > REMEMBERED:
-            codec.seen.clear()
-        new = [k for k, name in enumerate(listed) if name not in codec.seen]
-        codec.learn([listed[k] for k in new], [data[starts[first[k]] : ends[first[k]]].tobytes().decode() for k in new])
-        known = [codec.seen[name] for name in listed]
-        count = np.array([len(k[0]) for k in known], dtype=np.int64)
-        flat = np.concatenate([k[0] for k in known]) if known else np.zeros(0, np.int32)
-        begin = np.cumsum(count) - count
-        ids = flat[ragged(begin[place], count[place])]
+        _, there = codec.seen.find(names)
+        new = first[~there]
+        codec.seen = codec.seen.merged(codec.learn(names[~there], _strings(data, starts[new], ends[new])))
+        at, _ = codec.seen.find(names)
+        codec.seen.met[at] += 1
+        place = at[place]
+        count = codec.seen.count[place].astype(np.int64)
+        ids = codec.seen.ids[ragged(codec.seen.begin[place], count)]
         texts_here = len(chunk.lengths)
-        per_text = np.bincount(owner, count[place], minlength=texts_here).astype(np.int64)
-        differ = np.array([not k[1] for k in known], dtype=bool)[place]
-        broken = np.array([not k[2] for k in known], dtype=bool)[place]
+        per_text = np.bincount(owner, count, minlength=texts_here).astype(np.int64)
+        differ, broken = codec.seen.differ[place], codec.seen.broken[place]
+        codec.seen = codec.seen.bounded(REMEMBERED)
         yield (
             ids,
             per_text,

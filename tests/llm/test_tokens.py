@@ -132,3 +132,18 @@ def test_remembered_units_do_not_change_results(monkeypatch):
     monkeypatch.setattr(module, "CHUNK_BYTES", 50)
     small = np.concatenate([x[0] for x in encode_texts(Codec(content), texts)])
     assert first.tolist() == small.tolist()
+
+
+def test_units_met_often_stay_remembered(monkeypatch, reference):
+    from tapeloom.llm import sentencepiece as module
+
+    monkeypatch.setattr(module, "REMEMBERED", 20)
+    monkeypatch.setattr(module, "CHUNK_BYTES", 20)
+    texts = [f"the number w{n}x and so on z{n}y" for n in range(60)]
+    codec = Codec(open(MODEL, "rb").read())
+    learned, learn = [], codec.learn
+    codec.learn = lambda names, units: learned.extend(units) or learn(names, units)
+    found = list(encode_texts(codec, pa.array(texts)))
+    assert np.concatenate([x[0] for x in found]).tolist() == sum(reference.encode(texts), [])
+    assert all(x[2].all() and x[3].all() for x in found)
+    assert learned.count(" the") == learned.count(" number") == 1
