@@ -256,6 +256,11 @@ def _slices(column: pa.Array) -> Iterator[tuple[int, pa.Array]]:
         low = high
 
 
+def _own(a: np.ndarray) -> np.ndarray:
+    """A copy with numpy's own type object: an unpickled array brings another, and ``np.add.at`` is ten times slower on it."""
+    return a.astype(a.dtype.type)
+
+
 @dataclass
 class LogBilinear:
     """Context vectors, one matrix per context position, class vectors and biases."""
@@ -277,7 +282,7 @@ class LogBilinear:
         return [self.context, self.far, self.near, self.target, self.bias]
 
     def copy(self) -> LogBilinear:
-        return LogBilinear(*[a.copy() for a in self.arrays()])
+        return LogBilinear(*[_own(a) for a in self.arrays()])
 
     def flat(self) -> np.ndarray:
         return np.concatenate([a.ravel() for a in self.arrays()])
@@ -374,6 +379,9 @@ class Words:
         log_share = np.log(counts) - np.log(np.maximum(np.bincount(classes, counts, minlength=1), 0.5))[classes]
         return cls(np.zeros((len(counts), DIMENSION)), log_share.copy(), log_share, first)
 
+    def copy(self) -> Words:
+        return Words(*[_own(a) for a in (self.vectors, self.bias, self.log_share, self.first)])
+
     def train(self, predicted, word: np.ndarray, kind: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Noise-contrastive steps over tokens; returns the weight of tokens of each word.
 
@@ -507,7 +515,7 @@ def _word_round(shared, class_of):
         far_part, near_part = model.context @ model.far, model.context @ model.near
         for name, shard in _shards(batches, class_of.value):
             at = np.flatnonzero((shard.kind >= OWN) & (shard.kind < OTHER)).astype(np.int32)
-            words = Words(start.vectors.copy(), start.bias.copy(), start.log_share, start.first)
+            words = start.copy()
             predicted = lambda n: far_part[shard.far[at[n]]] + near_part[shard.near[at[n]]]
             seen = words.train(predicted, shard.rank[at].astype(np.int32) - OWN, shard.kind[at] - OWN, shard.weight[at])
             rows = np.concatenate([words.vectors * seen[:, None], (words.bias * seen)[:, None], seen[:, None]], axis=1)

@@ -2,6 +2,7 @@
 
 import math
 import os
+import pickle
 import zlib
 from collections import Counter
 
@@ -114,6 +115,20 @@ def test_words_in_a_class_follow_their_context():
         assert p[k, 20 * side[k] : 20 * side[k] + 20].sum() > 0.9
 
 
+def test_copies_of_sent_parameters_have_the_usual_type():
+    """Tasks get parameters unpickled, with a type object of their own that sends ``np.add.at`` down a slow path."""
+    counts = np.full(OWN + 40, 50.0)
+    head = language_model.Head(None, None, None, counts, language_model.class_of_ranks(counts), 1, 1, 1, 0, 0)
+    model = language_model.LogBilinear.start(np.full(language_model.CLASSES, 1 / language_model.CLASSES))
+    words = language_model.Words.start(head)
+    sent_model, sent_words = pickle.loads(pickle.dumps((model, words), 5))
+    own_model, own_words = sent_model.copy(), sent_words.copy()
+    assert all(a.dtype is np.dtype(np.float64) for a in [*own_model.arrays(), own_words.vectors, own_words.bias, own_words.log_share])
+    assert own_words.first.dtype is np.dtype(np.int64)
+    for a, b in zip([*vars(model).values(), *vars(words).values()], [*vars(own_model).values(), *vars(own_words).values()]):
+        assert a is not b and np.array_equal(a, b)
+
+
 @REAL
 def test_model_beats_counts_on_held_out_texts(spark):
     rows = score_texts(spark.read.parquet(f"{SF}/documents.parquet")).where("held_out").collect()
